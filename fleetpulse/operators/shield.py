@@ -8,14 +8,20 @@ from pyspark.sql import functions as F
 from fleetpulse.functions import checks as C
 from fleetpulse.functions.times import AsOf, age_seconds, as_of_column
 from fleetpulse.operators.pick import drop_duplicate_frames
-from fleetpulse.operators.split_runs import Cuts, Runs, over_runs, plan_cuts
+from fleetpulse.operators.split_runs import (
+    HOUR, MILLI, MINUTE, SECOND, Cuts, Runs, over_runs, plan_cuts,
+)
 from fleetpulse.schema import CYCLE, REASON, TS, UNIT
 from fleetpulse.settings import ShieldSettings
 
 DEFAULTS = ShieldSettings()
 
 # A unit's frames by event time; the cycle breaks ties that are left after deduplication.
-FRAME_RUNS = Runs(keys=(UNIT,), order=(TS, CYCLE), cut_on=(TS,), width=3_600_000_000)
+FRAME_RUNS = Runs(
+    keys=(UNIT,),
+    order=(TS, CYCLE),
+    levels=((TS, HOUR), (TS, MINUTE), (TS, SECOND), (TS, MILLI), (CYCLE, 1)),
+)
 
 
 # --- rules that drop rows ---------------------------------------------------------------

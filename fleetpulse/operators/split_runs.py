@@ -7,7 +7,9 @@ gets copies of the last few rows before it, the window runs per (unit, block), a
 copies are dropped again. The result is exactly that of the plain window.
 
 Whether and where to cut is decided from counts that are aggregated map-side, so data with
-no long unit keeps the plain window and pays one small count.
+no long unit keeps the plain window and pays one small count. Cutting goes level by level:
+only a block that is still too long is cut again at the next, finer level. The tables that
+say which blocks to cut hold at most (all rows / ``max_rows``) rows each.
 """
 
 from __future__ import annotations
@@ -22,30 +24,24 @@ from pyspark.sql import types as T
 from fleetpulse.session import cut_lineage
 from fleetpulse.settings import MAX_BROADCAST_ROWS
 
-_B0, _B1, _B2 = "_block_0", "_block_1", "_block_2"
-_BLOCK = (_B0, _B1, _B2)
-_SPLIT, _CARRY, _RANK, _NEXT = "_split", "_carry", "_rank", "_next"
-_LOW, _STEP = "_low", "_step"
+_SPLIT, _CARRY, _RANK, _NEXT, _ROWS = "_split", "_carry", "_rank", "_next", "_rows"
 _FIRST = -(2**62)
 
+# Widths of a timestamp level, in microseconds.
+HOUR, MINUTE, SECOND, MILLI = 3_600_000_000, 60_000_000, 1_000_000, 1_000
+
 
 @dataclass(frozen=True)
 class Runs:
-    """How rows form runs.
+    """How rows form runs, and along which (column, width) levels a long run is cut.
 
-    ``order`` sorts a run. ``cut_on`` is the leading part of ``order`` that blocks are cut
-    along (one or two columns); ``width`` is the smallest block in units of its first
-    column, microseconds for a timestamp.
+    Levels go from coarse to fine and follow ``order``: first all levels of its first
+    column, then of the second, and so on.
     """
 
     keys: tuple[str, ...]
     order: tuple[str, ...]
-    cut_on: tuple[str, ...]
-    width: int
-
-    def __post_init__(self) -> None:
-        if self.cut_on != self.order[: len(self.cut_on)] or len(self.cut_on) not in (1, 2):
-            raise ValueError("cut_on must be the first one or two columns of order")
+    levels: tuple[tuple[str, int], ...]
 
     def window(self) -> WindowSpec:
         return Window.partitionBy(*self.keys).orderBy(*self.order)
@@ -53,109 +49,90 @@ class Runs:
 
 @dataclass(frozen=True)
 class Cuts:
-    """Blocks of the long runs: one row per run and bucket, with the step of an inner cut."""
+    """The nodes to cut at each level: whole runs first, then blocks of the level before."""
 
     runs: Runs
-    width: int
-    table: DataFrame
-    rows: int
-
-    def tag(self, df: DataFrame) -> DataFrame:
-        """Add the block of every row; rows of short runs share one block per run."""
-        marks = _as_longs(df, self.runs)
-        table = self.table.select(
-            *[F.col(k).alias(f"_cut_{k}") for k in self.runs.keys],
-            F.col(_B0).alias("_cut_bucket"),
-            _LOW,
-            _STEP,
-        )
-        if self.rows <= MAX_BROADCAST_ROWS:
-            table = F.broadcast(table)
-        bucket = _bucket(marks[0], self.width)
-        match = F.col("_cut_bucket") == bucket
-        for key in self.runs.keys:
-            match = match & F.col(key).eqNullSafe(F.col(f"_cut_{key}"))
-        inner = F.col(_STEP).isNotNull()
-        none = F.lit(0).cast("long")
-        last = marks[-1]
-        joined = df.join(table, match, "left")
-        return joined.select(
-            *df.columns,
-            F.coalesce(F.col("_cut_bucket"), none).alias(_B0),
-            F.when(inner & F.lit(len(marks) == 2), marks[0]).otherwise(none).alias(_B1),
-            F.when(inner, last - F.pmod(last - F.col(_LOW), F.col(_STEP)))
-            .otherwise(none)
-            .alias(_B2),
-            F.col("_cut_bucket").isNotNull().alias(_SPLIT),
-        )
-
-
-def _as_longs(df: DataFrame, runs: Runs) -> list[Column]:
-    """The cut columns as integers that sort the same way, NULL first."""
-    marks = []
-    for name in runs.cut_on:
-        dtype = df.schema[name].dataType
-        if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-            mark = F.unix_micros(F.col(name).cast("timestamp"))
-        else:
-            mark = F.col(name).cast("long")
-        marks.append(F.coalesce(mark, F.lit(_FIRST)))
-    return marks
+    widths: tuple[int, ...]
+    tables: tuple[DataFrame, ...]
+    counts: tuple[int, ...]
 
+    @property
+    def blocks(self) -> tuple[str, ...]:
+        return tuple(f"_block_{depth}" for depth in range(len(self.tables)))
 
-def _bucket(mark: Column, width: int) -> Column:
+    def tag(self, df: DataFrame) -> DataFrame:
+        """Add the block of every row; the rows of a short run share one block."""
+        for depth, table in enumerate(self.tables):
+            path = (*self.runs.keys, *self.blocks[:depth])
+            renamed = table.select(
+                *[F.col(name).alias(f"_cut{name}") for name in path], F.lit(True).alias("_cut")
+            )
+            if self.counts[depth] <= MAX_BROADCAST_ROWS:
+                renamed = F.broadcast(renamed)
+            same = F.lit(True)
+            for name in path:
+                same = same & F.col(name).eqNullSafe(F.col(f"_cut{name}"))
+            cut = F.col("_cut").isNotNull()
+            bucket = _bucket(df, self.runs.levels[depth][0], self.widths[depth])
+            block = F.when(cut, bucket).otherwise(F.lit(0).cast("long"))
+            added = [block.alias(f"_block_{depth}")]
+            if depth == 0:
+                added.append(cut.alias(_SPLIT))
+            df = df.join(renamed, same, "left").select(*df.columns, *added)
+        return df
+
+
+def _bucket(df: DataFrame, name: str, width: int) -> Column:
+    """A long that sorts as the column does, NULL first, and is constant over a bucket."""
+    if isinstance(df.schema[name].dataType, (T.TimestampType, T.TimestampNTZType)):
+        mark = F.unix_micros(F.col(name).cast("timestamp"))
+    else:
+        mark = F.col(name).cast("long")
+    mark = F.coalesce(mark, F.lit(_FIRST))
     return mark - F.pmod(mark, F.lit(width).cast("long"))
 
 
-def _histogram(df: DataFrame, runs: Runs, width: int) -> DataFrame:
-    marks = _as_longs(df, runs)
-    return (
-        df.select(*runs.keys, _bucket(marks[0], width).alias(_B0), marks[-1].alias("_mark"))
-        .groupBy(*runs.keys, _B0)
-        .agg(
-            F.count(F.lit(1)).alias("_rows"),
-            F.min("_mark").alias(_LOW),
-            F.max("_mark").alias("_high"),
-        )
-    )
-
-
 def plan_cuts(df: DataFrame, runs: Runs, max_rows: int) -> Cuts | None:
-    """Count rows per run; None when every run fits one task, else the cuts of the long ones.
+    """Count rows per run; None when every run fits one task, else where to cut.
 
-    Runs one or two small jobs over the key and order columns only.
+    Runs one small job over the key and order columns, and one more per level that is cut.
     """
-    long_run = F.col("_rows") > F.lit(max_rows)
+    needed = list(dict.fromkeys((*runs.keys, *runs.order)))
+    df = df.select(*needed)
+    first, width = runs.levels[0]
     totals = (
-        _histogram(df, runs, runs.width)
+        df.groupBy(*runs.keys, _bucket(df, first, width).alias("_bucket"))
+        .agg(F.count(F.lit(1)).alias(_ROWS))
         .groupBy(*runs.keys)
-        .agg(F.sum("_rows").alias("_rows"), F.count(F.lit(1)).alias("_buckets"))
-        .agg(
-            F.sum(F.when(long_run, F.col("_rows"))).alias("rows"),
-            F.sum(F.when(long_run, F.col("_buckets"))).alias("buckets"),
-        )
-        .first()
+        .agg(F.sum(_ROWS).alias(_ROWS), F.count(F.lit(1)).alias("_buckets"))
     )
-    if totals.rows is None:
+    long_runs = totals.filter(F.col(_ROWS) > F.lit(max_rows))
+    found = long_runs.agg(
+        F.count(F.lit(1)).alias("runs"),
+        F.sum(_ROWS).alias("rows"),
+        F.sum("_buckets").alias("buckets"),
+    ).first()
+    if not found.runs:
         return None
     # Sparse buckets are widened until an average one fills half a task.
-    width = runs.width * max(1, max_rows * totals.buckets // (2 * totals.rows))
-    pieces = F.ceil(F.col("_rows") / F.lit(max_rows)).cast("long")
-    spread = F.col("_high") - F.col(_LOW)
-    table = cut_lineage(
-        _histogram(df, runs, width)
-        .withColumn("_run_rows", F.sum("_rows").over(Window.partitionBy(*runs.keys)))
-        .filter(F.col("_run_rows") > F.lit(max_rows))
-        .select(
-            *runs.keys,
-            _B0,
-            _LOW,
-            F.when(
-                pieces > 1, (spread - F.pmod(spread, pieces)) / pieces + F.lit(1)
-            ).cast("long").alias(_STEP),
+    widen = max(1, max_rows * found.buckets // (2 * found.rows))
+    widths = tuple(w * (widen if n == 0 else 1) for n, (_, w) in enumerate(runs.levels))
+    cuts = Cuts(runs, widths, (cut_lineage(long_runs.select(*runs.keys)),), (found.runs,))
+    for _ in runs.levels[1:]:
+        path = (*runs.keys, *cuts.blocks)
+        table = cut_lineage(
+            cuts.tag(df)
+            .filter(F.col(_SPLIT))
+            .groupBy(*path)
+            .agg(F.count(F.lit(1)).alias(_ROWS))
+            .filter(F.col(_ROWS) > F.lit(max_rows))
+            .select(*path)
         )
-    )
-    return Cuts(runs, width, table, table.count())
+        count = table.count()
+        if not count:
+            break
+        cuts = Cuts(runs, widths, (*cuts.tables, table), (*cuts.counts, count))
+    return cuts
 
 
 def over_runs(
@@ -173,21 +150,18 @@ def over_runs(
     """
     if cuts is None:
         return compute(df, runs.window())
+    blocks = cuts.blocks
     tagged = cuts.tag(df)
-    own = F.struct(*_BLOCK)
-    newest_first = [F.col(c).desc() for c in runs.order]
-    last_rows = tagged.filter(F.col(_SPLIT))
+    own = F.struct(*blocks)
+    last_rows = tagged.filter(F.col(_SPLIT)).drop(_SPLIT)
     if carry is not None:
-        names = dict.fromkeys((*runs.keys, *runs.order, *carry, *_BLOCK))
-        last_rows = last_rows.select(*names)
-    else:
-        last_rows = last_rows.drop(_SPLIT)
+        last_rows = last_rows.select(*dict.fromkeys((*runs.keys, *runs.order, *carry, *blocks)))
     # The row_number filter is pushed below the shuffle, so a task ships only these rows.
+    newest_first = Window.partitionBy(*runs.keys, *blocks).orderBy(
+        *[F.col(name).desc() for name in runs.order]
+    )
     last_rows = (
-        last_rows.withColumn(
-            _RANK,
-            F.row_number().over(Window.partitionBy(*runs.keys, *_BLOCK).orderBy(*newest_first)),
-        )
+        last_rows.withColumn(_RANK, F.row_number().over(newest_first))
         .filter(F.col(_RANK) <= F.lit(history))
         .drop(_RANK)
     )
@@ -199,15 +173,15 @@ def over_runs(
             _NEXT,
             F.explode(
                 F.array_distinct(
-                    F.filter(F.col(_NEXT), lambda b: b.isNotNull() & (b != own))
+                    F.filter(F.col(_NEXT), lambda block: block.isNotNull() & (block != own))
                 )
             ),
         )
-        .withColumns({name: F.col(_NEXT)[name] for name in _BLOCK})
+        .withColumns({name: F.col(_NEXT)[name] for name in blocks})
         .drop(_NEXT)
         .withColumn(_CARRY, F.lit(True))
     )
     rows = tagged.drop(_SPLIT).withColumn(_CARRY, F.lit(False))
     together = rows.unionByName(carried, allowMissingColumns=True)
-    window = Window.partitionBy(*runs.keys, *_BLOCK).orderBy(*runs.order)
-    return compute(together, window).filter(~F.col(_CARRY)).drop(_CARRY, *_BLOCK)
+    window = Window.partitionBy(*runs.keys, *blocks).orderBy(*runs.order)
+    return compute(together, window).filter(~F.col(_CARRY)).drop(_CARRY, *blocks)

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetpulse.functions.times import date_literal
-from fleetpulse.operators.split_runs import Runs, over_runs, plan_cuts
+from fleetpulse.operators.split_runs import (
+    HOUR, MILLI, MINUTE, SECOND, Runs, over_runs, plan_cuts,
+)
 from fleetpulse.schema import CYCLE, FLAG, REASON, TS, UNIT
 from fleetpulse.settings import MartSettings
 
@@ -18,9 +20,14 @@ AVERAGE = "t50_moving_avg_10"
 
 # Many ticks share a cycle, so event time settles their order.
 HEALTH_RUNS = Runs(
-    keys=(UNIT,), order=(CYCLE, EVENT_TS), cut_on=(CYCLE, EVENT_TS), width=16
+    keys=(UNIT,),
+    order=(CYCLE, EVENT_TS),
+    levels=(
+        (CYCLE, 16), (CYCLE, 1),
+        (EVENT_TS, HOUR), (EVENT_TS, MINUTE), (EVENT_TS, SECOND), (EVENT_TS, MILLI),
+    ),
 )
-CYCLE_RUNS = Runs(keys=(UNIT,), order=(CYCLE,), cut_on=(CYCLE,), width=16)
+CYCLE_RUNS = Runs(keys=(UNIT,), order=(CYCLE,), levels=((CYCLE, 16), (CYCLE, 1)))
 
 
 def staging(raw: DataFrame, settings: MartSettings = DEFAULTS) -> DataFrame:

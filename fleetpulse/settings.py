@@ -8,7 +8,7 @@ from dataclasses import dataclass
 MAX_RUN_ROWS = 2_000_000
 
 # A side may be broadcast only when a count has shown it to hold no more rows than this.
-MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
