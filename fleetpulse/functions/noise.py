@@ -21,11 +21,14 @@ def polar(*parts: Column) -> tuple[Column, Column]:
     word = F.xxhash64(*parts)
     upper = F.shiftrightunsigned(word, 32).cast("double")
     lower = word.bitwiseAND(F.lit(0xFFFFFFFF).cast("long")).cast("double")
-    radius = F.sqrt(F.lit(-2.0) * F.log((upper + F.lit(1.0)) / F.lit(_WORD)))
+    # The argument is in (0, 1], so the logarithm is never NULL; saying so drops NULL checks
+    # from the code generated for everything that follows.
+    logarithm = F.coalesce(F.log((upper + F.lit(1.0)) * F.lit(1.0 / _WORD)), F.lit(0.0))
+    radius = F.sqrt(F.lit(-2.0) * logarithm)
     angle = lower * F.lit(2.0 * math.pi / _WORD)
     return radius, angle
 
 
 def jitter(base: Column, normal: Column, scale: float) -> Column:
     """Noise in proportion to the base; zero stays zero."""
-    return base + normal * base * F.lit(scale)
+    return base * (F.lit(1.0) + normal * F.lit(scale))

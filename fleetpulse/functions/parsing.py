@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,3 +37,12 @@ def contract_breach(line: Column, fields: Column, values: list[Column]) -> Colum
         )
         .when(bad_cast, F.lit("field is not a number"))
     )
+
+
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column in a way that it is evaluated once per row.
+
+    A plain projection would be merged into the filters and projections above it, and a parse
+    that many of them read would run again for each. A one-element explode is not merged.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))

@@ -99,6 +99,8 @@ def reserve_next(
     as_of: AsOf,
     mode: str = ACCELERATED,
     settings: FlightSettings = DEFAULTS,
+    duration: Column | None = None,
+    idle: Column | None = None,
 ) -> DataFrame:
     """The ledger with each unit's next flight in the air, with its start and duration.
 
@@ -106,8 +108,9 @@ def reserve_next(
     """
     if mode not in (REALTIME, ACCELERATED):
         raise ValueError(f"mode must be {REALTIME} or {ACCELERATED}")
-    idle = F.lit(0) if mode == REALTIME else None
-    booked = schedule_flights(next_pending(ledger), as_of, settings, idle=idle)
+    if mode == REALTIME:
+        idle = F.lit(0)
+    booked = schedule_flights(next_pending(ledger), as_of, settings, duration, idle)
     booked = booked.select(
         *FLIGHT_KEY,
         F.lit(IN_FLIGHT).alias("_status"),

@@ -18,6 +18,16 @@ DEFAULTS = FlightSettings()
 EXACT_READINGS = ("op_setting_3",)
 
 _CHUNK_SEC = 60
+_TICKS_PER_TASK = 1_000_000
+_MAX_TASKS = 100_000
+
+
+def _tasks(flights: DataFrame, hz: int, duration: str) -> int:
+    """Tasks for an expansion. The rows before it are few and small, so neither their size nor
+    adaptive merging says how much work they stand for; the sum of durations does."""
+    seconds = flights.agg(F.sum(duration)).first()[0] or 0
+    least = flights.sparkSession.sparkContext.defaultParallelism
+    return min(_MAX_TASKS, max(least, -(-seconds * hz // _TICKS_PER_TASK)))
 
 
 def expand_ticks(
@@ -35,7 +45,7 @@ def expand_ticks(
     pieces = (
         flights.filter(F.col(duration) > 0)
         .withColumn("_from", F.explode(F.sequence(F.lit(0), last, F.lit(_CHUNK_SEC))))
-        .repartition(UNIT, CYCLE, "_from")
+        .repartition(_tasks(flights, hz, duration), UNIT, CYCLE, "_from")
     )
     until = F.least(F.col(duration), F.col("_from") + F.lit(_CHUNK_SEC))
     ticks = F.sequence(
@@ -55,20 +65,25 @@ def with_noise(
     """Gaussian noise in proportion to each reading present, drawn from a hash of run, unit,
     cycle, tick and reading; ids, times and the exact setting are untouched."""
     noisy = [n for n in SENSORS if n in ticks.columns and n not in EXACT_READINGS]
+    # One hash per tick feeds all draws. This keeps the generated method below the size up to
+    # which the JVM compiles it; beyond that the same plan runs ten times slower.
+    seeded = ticks.withColumn(
+        "_seed", F.xxhash64(F.lit(run_id), F.col(UNIT), F.col(CYCLE), F.col("tick"))
+    )
     pairs = [noisy[i : i + 2] for i in range(0, len(noisy), 2)]
     draws = {}
     for pair in pairs:
         place = F.lit(SENSORS.index(pair[0]))
-        radius, angle = polar(F.lit(run_id), F.col(UNIT), F.col(CYCLE), F.col("tick"), place)
+        radius, angle = polar(F.col("_seed"), place)
         draws[f"_r_{pair[0]}"] = radius
         draws[f"_a_{pair[0]}"] = angle
-    drawn = ticks.withColumns(draws)
+    drawn = seeded.withColumns(draws)
     values = {}
     for pair in pairs:
         radius, angle = F.col(f"_r_{pair[0]}"), F.col(f"_a_{pair[0]}")
         for name, wave in zip(pair, (F.cos, F.sin)):
             values[name] = jitter(F.col(name), radius * wave(angle), settings.noise_scale)
-    return drawn.withColumns(values).drop(*draws)
+    return drawn.withColumns(values).drop(*draws, "_seed")
 
 
 def edge_rows(ticks: DataFrame, run_id: str, start: str = "flight_start_time") -> DataFrame:

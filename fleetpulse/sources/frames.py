@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fleetpulse.functions.times import AsOf, ingest_date
 from fleetpulse.functions.checks import with_quality_columns
+from fleetpulse.functions.parsing import once
 from fleetpulse.schema import CYCLE, SENSORS, TS, UNIT, wire_schema
 
 REJECT = "reject_reason"
@@ -75,7 +76,7 @@ def decode_frames(raw: DataFrame) -> DataFrame:
     """
     wire = wire_schema()
     text = raw.select(F.col("value").cast("string").alias("value"))
-    flat = text.select("value", F.from_json("value", wire).alias("_f")).select(
+    flat = once(text, "_f", F.from_json("value", wire)).select(
         "value", *[F.col("_f")[name].alias(name) for name in wire.names]
     )
     known = F.lit(False)

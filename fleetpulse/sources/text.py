@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fleetpulse.functions.parsing import contract_breach, field_value, tokens
+from fleetpulse.functions.parsing import contract_breach, field_value, once, tokens
 from fleetpulse.operators.joins import join_checked
 from fleetpulse.schema import UNIT, blueprint_schema
 from fleetpulse.session import cut_lineage
@@ -54,7 +54,7 @@ def _number(raw: DataFrame) -> DataFrame:
 
 def parse_lines(lines: DataFrame) -> DataFrame:
     """Add the typed blueprint columns and the reason why a line is not acceptable."""
-    typed = lines.withColumn("_fields", tokens(F.col("line")))
+    typed = once(lines, "_fields", tokens(F.col("line")))
     schema = blueprint_schema().fields
     typed = typed.withColumns(
         {f.name: field_value(F.col("_fields"), n, f.dataType) for n, f in enumerate(schema)}
