@@ -1,11 +1,11 @@
-"""One whole row per key, chosen by map-side aggregation instead of a sort."""
+"""One whole row per key."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetpulse.schema import FRAME_KEY
+from fleetpulse.schema import CYCLE, FRAME_KEY, TS, UNIT
 
 
 def lowest_row(df: DataFrame, keys: tuple[str, ...], by: Column) -> DataFrame:
@@ -23,8 +23,29 @@ def lowest_row(df: DataFrame, keys: tuple[str, ...], by: Column) -> DataFrame:
     return ranked.groupBy(*keys).agg(*picked).select(*df.columns)
 
 
+def _content(df: DataFrame, keys: tuple[str, ...]) -> Column:
+    rest = [F.col(c) for c in df.columns if c not in keys]
+    return F.xxhash64(*rest) if rest else F.lit(0)
+
+
 def drop_duplicate_frames(df: DataFrame, keys: tuple[str, ...] = FRAME_KEY) -> DataFrame:
     """Keep one frame per key. Which of several different copies stays does not depend on
     partitioning or retries: it is the one whose content hashes lowest."""
-    rest = [F.col(c) for c in df.columns if c not in keys]
-    return lowest_row(df, keys, F.xxhash64(*rest) if rest else F.lit(0))
+    return lowest_row(df, keys, _content(df, keys))
+
+
+def drop_duplicates_by_unit(df: DataFrame) -> DataFrame:
+    """The same choice, for frames that then go through windows along a unit.
+
+    Frames move once, by unit, and the sort that finds copies is the one the windows need.
+    Copies are not collapsed before the shuffle, so use it only when no unit is long.
+    """
+    # The key in run order, so that the windows after it find their sort done.
+    copies = Window.partitionBy(UNIT, TS, CYCLE).orderBy("_by")
+    return (
+        df.withColumn("_by", _content(df, FRAME_KEY))
+        .repartition(UNIT)
+        .withColumn("_place", F.row_number().over(copies))
+        .filter(F.col("_place") == 1)
+        .drop("_by", "_place")
+    )

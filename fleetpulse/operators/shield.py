@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetpulse.functions import checks as C
 from fleetpulse.functions.times import AsOf, age_seconds, as_of_column
-from fleetpulse.operators.pick import drop_duplicate_frames
+from fleetpulse.operators.pick import drop_duplicate_frames, drop_duplicates_by_unit
 from fleetpulse.operators.split_runs import (
     HOUR, MILLI, MINUTE, SECOND, Cuts, Runs, over_runs, plan_cuts,
 )
@@ -142,8 +142,8 @@ def quality_shield(
     cuts = plan_cuts(
         df if per_row else drop_stale(df, reference, settings), FRAME_RUNS, settings.max_run_rows
     )
-    source = df.repartition(UNIT) if cuts is None else df
-    frames = drop_stale(drop_duplicate_frames(source), reference, settings)
+    unique = drop_duplicates_by_unit(df) if cuts is None else drop_duplicate_frames(df)
+    frames = drop_stale(unique, reference, settings)
     frames = C.with_quality_columns(frames)
     columns = frames.columns
 

@@ -9,7 +9,7 @@ from fleetpulse.functions.noise import jitter, polar
 from fleetpulse.functions.times import (
     AsOf, as_of_column, rfc3339_nano, truncate_to_millis,
 )
-from fleetpulse.schema import CYCLE, SENSORS, TS, UNIT
+from fleetpulse.schema import CYCLE, SENSORS, TS, UNIT, edge_schema
 from fleetpulse.settings import FlightSettings
 
 DEFAULTS = FlightSettings()
@@ -89,13 +89,16 @@ def with_noise(
 def edge_rows(ticks: DataFrame, run_id: str, start: str = "flight_start_time") -> DataFrame:
     """Rows of the tick files: millisecond times, and the keys of the folder layout. The date
     is that of the flight's start, so a flight over midnight stays in one folder."""
-    return ticks.select(
-        truncate_to_millis(F.col(TS)).alias(TS),
-        UNIT,
-        CYCLE,
-        *[n for n in SENSORS if n in ticks.columns],
+    millis = ticks.withColumn(TS, truncate_to_millis(F.col(TS)))
+    declared = [
+        F.col(f.name).cast(f.dataType).alias(f.name)
+        for f in edge_schema().fields
+        if f.name in ticks.columns
+    ]
+    return millis.select(
+        *declared,
         F.lit(run_id).alias("run_id"),
-        F.col(UNIT).alias("unit"),
+        F.col(UNIT).cast("int").alias("unit"),
         F.to_date(F.col(start)).alias("date"),
     )
 
