@@ -4,41 +4,42 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from fleetpulse.schema import blueprint_schema
+from fleetpulse.schema import SENSORS
+
+IDS = 2
 
-_SPACE = r"\s+"
 # Java accepts "1.0d", "1f" and hex floats as numbers; the text contract does not.
 _NOT_A_NUMBER = r"(?i)[0-9.][df](\s|$)|0x"
 
 
 def tokens(line: Column) -> Column:
     """Fields of a line separated by runs of blanks; outer blanks are ignored."""
-    return F.split(F.regexp_replace(line, r"^\s+|\s+$", ""), _SPACE)
-
-
-def field_value(fields: Column, index: int, dtype: T.DataType) -> Column:
-    return F.get(fields, F.lit(index)).try_cast(dtype)
-
-
-def contract_breach(line: Column, fields: Column, values: list[Column]) -> Column:
-    """Why a line breaks the 26-column contract, or NULL."""
-    width = len(blueprint_schema().fields)
-    bad_cast = line.rlike(_NOT_A_NUMBER)
-    for value in values:
-        bad_cast = bad_cast | value.isNull()
-    return (
-        F.when(
-            F.size(fields) != width,
-            F.concat(
-                F.lit(f"expected {width} fields, found "), F.size(fields).cast("string")
-            ),
-        )
-        .when(bad_cast, F.lit("field is not a number"))
+    # One cached pattern; ``split`` would compile its pattern again for every line.
+    return F.regexp_extract_all(line, F.lit(r"\S+"), F.lit(0))
+
+
+def numbers(fields: Column) -> Column:
+    """The fields after the two ids as doubles; NULL where a field is none."""
+    return F.transform(
+        F.slice(fields, IDS + 1, len(SENSORS)), lambda field: field.try_cast("double")
     )
 
 
+def id_value(fields: Column, index: int) -> Column:
+    return F.get(fields, F.lit(index)).try_cast("int")
+
+
+def contract_breach(line: Column, fields: Column, readings: Column) -> Column:
+    """Why a line breaks the contract of 2 integers and 24 doubles, or NULL."""
+    width = IDS + len(SENSORS)
+    bad = line.rlike(_NOT_A_NUMBER) | F.exists(readings, lambda reading: reading.isNull())
+    for index in range(IDS):
+        bad = bad | id_value(fields, index).isNull()
+    found = F.concat(F.lit(f"expected {width} fields, found "), F.size(fields).cast("string"))
+    return F.when(F.size(fields) != width, found).when(bad, F.lit("field is not a number"))
+
+
 def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """Add a costly column in a way that it is evaluated once per row.
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetpulse.functions import checks as C
+from fleetpulse.functions.parsing import once
 from fleetpulse.operators import ledger as L
 from fleetpulse.operators import rul as R
 from fleetpulse.operators import shield as S
@@ -92,8 +93,9 @@ def frame_roundtrip(spark, sf_dir):
 
 
 def _lines(spark, sf_dir):
-    lines = V.run_view(spark, V.LINES, sf_dir, "lineitem").filter(F.col("line").rlike(r"\S"))
-    return TX.parse_lines(lines)
+    lines = V.run_view(spark, V.LINES, sf_dir, "lineitem")
+    text = once(lines.withColumnRenamed("line", "_line"), "line", F.col("_line")).select("line")
+    return TX.parse_lines(text.filter(F.col("line").rlike(r"\S")))
 
 
 @query

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fleetpulse.functions.parsing import contract_breach, field_value, once, tokens
+from fleetpulse.functions.parsing import contract_breach, id_value, numbers, once, tokens
 from fleetpulse.operators.joins import join_checked
-from fleetpulse.schema import UNIT, blueprint_schema
+from fleetpulse.schema import CYCLE, SENSORS, UNIT, blueprint_schema
 from fleetpulse.session import cut_lineage
 
 REJECT = "reject_reason"
@@ -54,13 +54,14 @@ def _number(raw: DataFrame) -> DataFrame:
 
 def parse_lines(lines: DataFrame) -> DataFrame:
     """Add the typed blueprint columns and the reason why a line is not acceptable."""
-    typed = once(lines, "_fields", tokens(F.col("line")))
-    schema = blueprint_schema().fields
-    typed = typed.withColumns(
-        {f.name: field_value(F.col("_fields"), n, f.dataType) for n, f in enumerate(schema)}
+    split = once(lines, "_fields", tokens(F.col("line")))
+    typed = once(split, "_readings", numbers(F.col("_fields")))
+    return typed.select(
+        *lines.columns,
+        *[id_value(F.col("_fields"), n).alias(name) for n, name in enumerate((UNIT, CYCLE))],
+        *[F.get("_readings", F.lit(n)).alias(name) for n, name in enumerate(SENSORS)],
+        contract_breach(F.col("line"), F.col("_fields"), F.col("_readings")).alias(REJECT),
     )
-    reason = contract_breach(F.col("line"), F.col("_fields"), [F.col(f.name) for f in schema])
-    return typed.withColumn(REJECT, reason).drop("_fields")
 
 
 def accepted_lines(parsed: DataFrame) -> DataFrame:
