@@ -82,18 +82,18 @@ def decode_frames(raw: DataFrame) -> DataFrame:
     known = F.lit(False)
     for name in wire.names:
         known = known | F.col(name).isNotNull()
-    typed = flat.withColumn("_known", known).withColumns(
-        {
-            TS: F.try_to_timestamp(F.col(TS)),
-            "processing_at": F.try_to_timestamp(F.col("processing_at")),
-        }
-    )
+    at = F.try_to_timestamp(F.col(TS))
     reason = (
-        F.when(~F.col("_known"), "malformed frame")
-        .when(F.col(TS).isNull(), "no readable timestamp")
+        F.when(~known, "malformed frame")
+        .when(at.isNull(), "no readable timestamp")
         .when(F.col(UNIT).isNull(), "no unit")
     )
-    return typed.withColumn(REJECT, reason).drop("_known")
+    # The reason reads every column. As a plain column it would stay with the optimizer as a
+    # constraint over all of them, and rewriting that for each later alias never ends.
+    judged = once(flat, REJECT, reason)
+    return judged.withColumns(
+        {TS: at, "processing_at": F.try_to_timestamp(F.col("processing_at"))}
+    )
 
 
 def accepted_frames(decoded: DataFrame) -> DataFrame:
