@@ -194,6 +194,14 @@ def _staged(spark, sf_dir):
     return M.staging(_shielded(spark, sf_dir))
 
 
+def _sizes(spark, sf_dir):
+    return M.sizes_of(V.telemetry(spark, sf_dir))
+
+
+def _mart(spark, sf_dir):
+    return M.health_mart(_staged(spark, sf_dir), sized_by=_sizes(spark, sf_dir))
+
+
 @query
 def stg_telemetry(spark, sf_dir):
     return _staged(spark, sf_dir)
@@ -201,29 +209,29 @@ def stg_telemetry(spark, sf_dir):
 
 @query
 def mart_engine_health(spark, sf_dir):
-    return M.health_mart(_staged(spark, sf_dir))
+    return _mart(spark, sf_dir)
 
 
 @query
 def mart_all_frames(spark, sf_dir):
     """The mart over a whole month: only the one-row rules ran before it."""
     frames = S.flag_thermocouple_break(S.flag_schema_rot(_deduplicated(spark, sf_dir)))
-    return M.health_mart(M.staging(frames))
+    return M.health_mart(M.staging(frames), sized_by=_sizes(spark, sf_dir))
 
 
 @query
 def mart_per_cycle(spark, sf_dir):
-    return M.health_per_cycle(_staged(spark, sf_dir))
+    return M.health_per_cycle(_staged(spark, sf_dir), sized_by=_sizes(spark, sf_dir))
 
 
 @query
 def engine_trend(spark, sf_dir):
-    return M.engine_trend(M.health_mart(_staged(spark, sf_dir)), **TREND)
+    return M.engine_trend(_mart(spark, sf_dir), **TREND)
 
 
 @query
 def trend_long(spark, sf_dir):
-    return M.trend_long(M.engine_trend(M.health_mart(_staged(spark, sf_dir)), **TREND))
+    return M.trend_long(M.engine_trend(_mart(spark, sf_dir), **TREND))
 
 
 @query

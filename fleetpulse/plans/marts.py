@@ -49,21 +49,30 @@ def staging_view(raw: DataFrame, name: str = "stg_telemetry") -> DataFrame:
     return raw.sparkSession.table(name)
 
 
-def health_mart(stg: DataFrame, settings: MartSettings = DEFAULTS) -> DataFrame:
-    """Staging plus the event date and the moving average of T50 over the last rows."""
+def health_mart(
+    stg: DataFrame, settings: MartSettings = DEFAULTS, sized_by: DataFrame | None = None
+) -> DataFrame:
+    """Staging plus the event date and the moving average of T50 over the last rows.
+
+    ``sized_by`` has the key and order columns of a cheaper superset, such as the raw frames,
+    to find long units by. It affects the plan only: any cut of a run gives the same result.
+    """
     back = settings.frame_rows - 1
 
     def average(df: DataFrame, window) -> DataFrame:
         return df.withColumn(AVERAGE, F.avg("T50").over(window.rowsBetween(-back, 0)))
 
     dated = stg.withColumn("event_date", F.to_date(EVENT_TS))
-    cuts = plan_cuts(stg, HEALTH_RUNS, settings.max_run_rows)
+    sized_by = stg if sized_by is None else sized_by
+    cuts = plan_cuts(sized_by, HEALTH_RUNS, settings.max_run_rows)
     return over_runs(dated, HEALTH_RUNS, back, average, cuts, carry=("T50",)).select(
         *dated.columns, AVERAGE
     )
 
 
-def health_per_cycle(stg: DataFrame, settings: MartSettings = DEFAULTS) -> DataFrame:
+def health_per_cycle(
+    stg: DataFrame, settings: MartSettings = DEFAULTS, sized_by: DataFrame | None = None
+) -> DataFrame:
     """One row per unit and cycle: mean T50, and the mean of all readings in the last cycles.
 
     Readings collapse to a sum and a count map-side, so the window sees cycles, not ticks.
@@ -81,7 +90,8 @@ def health_per_cycle(stg: DataFrame, settings: MartSettings = DEFAULTS) -> DataF
             "t50_avg_10_cycles", F.sum("_total").over(frame) / _positive(F.sum("_n").over(frame))
         )
 
-    cuts = plan_cuts(cycles, CYCLE_RUNS, settings.max_run_rows)
+    sized_by = cycles if sized_by is None else sized_by
+    cuts = plan_cuts(sized_by, CYCLE_RUNS, settings.max_run_rows)
     result = over_runs(cycles, CYCLE_RUNS, back, average, cuts, carry=("_n", "_total"))
     return result.select(
         UNIT, CYCLE, "frames",
@@ -95,6 +105,11 @@ def _positive(count):
     return F.when(count > 0, count)
 
 
+def sizes_of(frames: DataFrame) -> DataFrame:
+    """Raw frames as something to find long units by."""
+    return frames.select(UNIT, CYCLE, F.col(TS).alias(EVENT_TS))
+
+
 def engine_trend(mart: DataFrame, unit: int, start: date | str, end: date | str) -> DataFrame:
     """Trend of one unit between two dates, both included, in cycle order.
 

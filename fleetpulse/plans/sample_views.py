@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetpulse.operators.ticks import encode_frames
-from fleetpulse.schema import SENSORS, TS, UNIT, blueprint_schema
+from fleetpulse.schema import SENSORS, TS, UNIT
 from fleetpulse.session import scratch_path
 
 TELEMETRY = """
@@ -176,27 +176,26 @@ def write_slices(frames: DataFrame, as_json: bool = False) -> tuple[str, int]:
     """Write frames as a stream source, slice after slice in event time.
 
     Returns the folder and the number of files per slice. A stream that takes that many files
-    per trigger sees one slice per micro-batch, in order, whatever the size of the data.
+    per trigger sees one slice per micro-batch, in order, whatever the size of the data. One
+    pass sorts the frames into slice folders, so each slice is then read alone.
     """
     spark = frames.sparkSession
-    path = scratch_path(spark, "slices")
+    path, staged = scratch_path(spark, "slices"), scratch_path(spark, "staged")
+    second = F.unix_seconds(F.col(TS))
     bounds = frames.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.min(F.unix_seconds(F.col(TS))).alias("low"),
-        F.max(F.unix_seconds(F.col(TS))).alias("high"),
+        F.count(F.lit(1)).alias("rows"), F.min(second).alias("low"), F.max(second).alias("high")
     ).first()
     count = max(4, math.ceil(bounds.rows / SLICE_ROWS))
     step = (bounds.high - bounds.low) // count + 1
     files = max(1, min(bounds.rows // (count * 8), spark.sparkContext.defaultParallelism))
+    place = F.floor((second - F.lit(bounds.low)) / F.lit(step)).cast("int")
+    frames.withColumn("slice", place).write.partitionBy("slice").parquet(staged)
+    slices = spark.read.parquet(staged)
     for n in range(count):
-        low = bounds.low + n * step
-        second = F.unix_seconds(F.col(TS))
-        part = frames.filter((second >= low) & (second < low + step)).repartition(files)
+        part = slices.filter(F.col("slice") == n).drop("slice").repartition(files)
         if as_json:
             encode_frames(part, F.col(TS)).write.mode("append").text(path)
         else:
             part.write.mode("append").parquet(path)
     return path, files
 
-
-assert len(blueprint_schema().fields) == 26
