@@ -56,24 +56,33 @@ def flag_thermocouple_break(df: DataFrame, settings: ShieldSettings = DEFAULTS)
 
 
 # --- rules that look back along a unit --------------------------------------------------
+#
+# ``sized_by`` is a cheaper superset of the frames, such as those before deduplication, to find
+# long units by. It affects the plan only.
 
 
-def flag_zombie_state(df: DataFrame, settings: ShieldSettings = DEFAULTS) -> DataFrame:
+def flag_zombie_state(
+    df: DataFrame, settings: ShieldSettings = DEFAULTS, sized_by: DataFrame | None = None
+) -> DataFrame:
     """The cycle counter ran backwards."""
-    return _flag_along_runs(df, settings, {C.ZOMBIE_STATE: cycle_fell})
+    return _flag_along_runs(df, settings, {C.ZOMBIE_STATE: cycle_fell}, sized_by)
 
 
-def flag_sensor_freeze(df: DataFrame, settings: ShieldSettings = DEFAULTS) -> DataFrame:
+def flag_sensor_freeze(
+    df: DataFrame, settings: ShieldSettings = DEFAULTS, sized_by: DataFrame | None = None
+) -> DataFrame:
     """Pressure stood still over the horizon while core speed changed; it becomes NULL."""
     rule = frozen(settings.freeze_horizon)
-    return _flag_along_runs(df, settings, {C.SENSOR_FREEZE: rule}, blank="P30")
+    return _flag_along_runs(df, settings, {C.SENSOR_FREEZE: rule}, sized_by, blank="P30")
 
 
-def flag_adversarial_drift(df: DataFrame, settings: ShieldSettings = DEFAULTS) -> DataFrame:
+def flag_adversarial_drift(
+    df: DataFrame, settings: ShieldSettings = DEFAULTS, sized_by: DataFrame | None = None
+) -> DataFrame:
     """Fuel flow rose while exhaust temperature fell. Without fuel flow, nothing to do."""
     if "phi" not in df.columns:
         return C.with_quality_columns(df)
-    return _flag_along_runs(df, settings, {C.ADVERSARIAL_DRIFT: drifted})
+    return _flag_along_runs(df, settings, {C.ADVERSARIAL_DRIFT: drifted}, sized_by)
 
 
 def late(as_of: AsOf, settings: ShieldSettings) -> Column:
@@ -102,9 +111,15 @@ def drifted(window: WindowSpec) -> Column:
     )
 
 
-def _flag_along_runs(df, settings, rules, blank: str | None = None) -> DataFrame:
+def _flag_along_runs(
+    df: DataFrame,
+    settings: ShieldSettings,
+    rules: dict,
+    sized_by: DataFrame | None,
+    blank: str | None = None,
+) -> DataFrame:
     frames = C.with_quality_columns(df)
-    cuts = plan_cuts(df, FRAME_RUNS, settings.max_run_rows)
+    cuts = plan_cuts(df if sized_by is None else sized_by, FRAME_RUNS, settings.max_run_rows)
     marked = _mark(frames, rules, settings, cuts)
     hits = {code: F.col(f"_hit_{code}") for code in rules}
     flagged = C.record(marked, hits)

@@ -71,7 +71,7 @@ def event_props_decode(spark, sf_dir):
 
 
 def _decoded(spark, sf_dir):
-    return FR.decode_frames(V.run_view(spark, V.WIRE, sf_dir, "events"))
+    return FR.decode_frames(V.run_view(spark, V.WIRE, sf_dir, "events", heavy=True))
 
 
 @query
@@ -93,7 +93,7 @@ def frame_roundtrip(spark, sf_dir):
 
 
 def _lines(spark, sf_dir):
-    lines = V.run_view(spark, V.LINES, sf_dir, "lineitem")
+    lines = V.run_view(spark, V.LINES, sf_dir, "lineitem", heavy=True)
     text = once(lines.withColumnRenamed("line", "_line"), "line", F.col("_line")).select("line")
     return TX.parse_lines(text.filter(F.col("line").rlike(r"\S")))
 
@@ -151,19 +151,23 @@ def thermocouple_break(spark, sf_dir):
     return _checked(S.flag_thermocouple_break(_deduplicated(spark, sf_dir)), "T50")
 
 
+def _along_runs(rule, spark, sf_dir):
+    return rule(_deduplicated(spark, sf_dir), sized_by=V.telemetry(spark, sf_dir))
+
+
 @query
 def zombie_state(spark, sf_dir):
-    return _checked(S.flag_zombie_state(_deduplicated(spark, sf_dir)))
+    return _checked(_along_runs(S.flag_zombie_state, spark, sf_dir))
 
 
 @query
 def sensor_freeze(spark, sf_dir):
-    return _checked(S.flag_sensor_freeze(_deduplicated(spark, sf_dir)), "P30")
+    return _checked(_along_runs(S.flag_sensor_freeze, spark, sf_dir), "P30")
 
 
 @query
 def adversarial_drift(spark, sf_dir):
-    return _checked(S.flag_adversarial_drift(_deduplicated(spark, sf_dir)))
+    return _checked(_along_runs(S.flag_adversarial_drift, spark, sf_dir))
 
 
 def _shielded(spark, sf_dir):

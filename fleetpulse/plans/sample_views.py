@@ -134,12 +134,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def run_view(spark: SparkSession, sql: str, sf_dir: str, *names: str) -> DataFrame:
-    """Run a view's SQL over the named tables of a folder."""
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on an input that comes in fewer pieces than there are cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def run_view(
+    spark: SparkSession, sql: str, sf_dir: str, *names: str, heavy: bool = False
+) -> DataFrame:
+    """Run a view's SQL over the named tables of a folder; ``heavy`` when its text is costly to
+    parse, so that even a table in one file is parsed by all cores."""
     views = []
     for name in names:
         view = f"{name}_{uuid.uuid4().hex}"
-        table(spark, sf_dir, name).createOrReplaceTempView(view)
+        source = table(spark, sf_dir, name)
+        (spread(source) if heavy else source).createOrReplaceTempView(view)
         sql = re.sub(rf"\bFROM {name}\b", f"FROM {view}", sql)
         views.append(view)
     result = spark.sql(sql)

@@ -7,8 +7,9 @@ from dataclasses import dataclass
 # A single window task sorts at most about this many rows; beyond it a unit's run is split.
 MAX_RUN_ROWS = 2_000_000
 
-# A side may be broadcast only when a count has shown it to hold no more rows than this.
-MAX_BROADCAST_ROWS = 1_000_000
+# A side of a few narrow columns may be broadcast only when a count has shown it to hold no
+# more rows than this.
+MAX_BROADCAST_ROWS = 500_000
 
 
 @dataclass(frozen=True)

@@ -13,7 +13,7 @@ def spark():
     session = build_session(
         "tests",
         "local[4]",
-        **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g"},
+        **{"spark.sql.shuffle.partitions": "2", "spark.ui.enabled": "false", "spark.driver.memory": "4g"},
     )
     session.sparkContext.setLogLevel("OFF")
     yield session
