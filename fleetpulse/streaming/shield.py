@@ -11,26 +11,20 @@ sources bound the size of a micro-batch.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from fleetpulse.functions import checks as C
 from fleetpulse.functions.times import AsOf, as_of_column
 from fleetpulse.operators.shield import assemble, drop_stale, with_row_hits
-from fleetpulse.schema import CYCLE, FRAME_KEY, TS, UNIT
+from fleetpulse.schema import FRAME_KEY, TS, UNIT
 from fleetpulse.session import ROCKSDB_PROVIDER
 from fleetpulse.settings import ShieldSettings
+from fleetpulse.streaming import run_rules as R
 
-# Names in transit; Spark hands rows over as named tuples, which cannot start with "_".
-_NULLS, _NANS, _MICROS = "null_bits", "nan_bits", "event_micros"
-_READ = (CYCLE, "P30", "Nc", "phi", "T50")
+cloudpickle.register_pickle_by_value(R)
 
 
 def drop_duplicates_stream(
@@ -48,19 +42,19 @@ def shield_stream(
     reference = as_of_column(as_of)
     fresh = drop_stale(drop_duplicates_stream(frames, settings), reference, settings)
     packed, payload = _pack(with_row_hits(fresh, reference, settings))
-    rules = [C.ZOMBIE_STATE, C.SENSOR_FREEZE]
-    if "phi" in frames.columns:
-        rules.append(C.ADVERSARIAL_DRIFT)
+    rules = {C.ZOMBIE_STATE: R.COUNTER_FELL, C.SENSOR_FREEZE: R.FROZEN}
+    if R.FUEL in frames.columns:
+        rules[C.ADVERSARIAL_DRIFT] = R.DRIFTED
     places = {f.name: n for n, f in enumerate(payload)}
     output = T.StructType(
         [f for f in packed.schema.fields if f.name != TS]
         + [T.StructField(f"hit{n}", T.BooleanType()) for n in range(len(rules))]
     )
     judged = packed.groupBy(UNIT).transformWithStateInPandas(
-        statefulProcessor=RunRules(
+        statefulProcessor=R.RunRules(
             [f.name for f in packed.schema.fields if f.name != TS],
-            {name: places[name] for name in _READ if name in places},
-            rules,
+            {name: places[name] for name in R.READ if name in places},
+            list(rules.values()),
             settings.freeze_horizon,
         ),
         outputStructType=output,
@@ -92,10 +86,10 @@ def _pack(df: DataFrame) -> tuple[DataFrame, list[T.StructField]]:
     packed = df.select(
         F.col(UNIT),
         F.col(TS),
-        F.unix_micros(F.col(TS)).alias(_MICROS),
+        F.unix_micros(F.col(TS)).alias(R.MICROS),
         *values,
-        nulls.alias(_NULLS),
-        nans.alias(_NANS),
+        nulls.alias(R.NULLS),
+        nans.alias(R.NANS),
     )
     return packed, payload
 
@@ -110,140 +104,14 @@ def _as_double(field: T.StructField) -> Column:
 
 
 def _unpack(df: DataFrame, payload: list[T.StructField]) -> DataFrame:
-    columns = [F.col(UNIT), F.timestamp_micros(F.col(_MICROS)).alias(TS)]
+    columns = [F.col(UNIT), F.timestamp_micros(F.col(R.MICROS)).alias(TS)]
     for n, field in enumerate(payload):
         bit = F.lit(1 << n).cast("long")
         value = F.when(
-            F.col(_NANS).bitwiseAND(bit) != 0, F.lit(float("nan"))
+            F.col(R.NANS).bitwiseAND(bit) != 0, F.lit(float("nan"))
         ).otherwise(F.col(f"value{n}"))
-        value = F.when(F.col(_NULLS).bitwiseAND(bit) == 0, value)
+        value = F.when(F.col(R.NULLS).bitwiseAND(bit) == 0, value)
         if isinstance(field.dataType, T.TimestampType):
             value = F.timestamp_micros(value.cast("long"))
         columns.append(value.cast(field.dataType).alias(field.name))
     return df.select(*columns, *[c for c in df.columns if c.startswith("hit")])
-
-
-# --- the stateful operator --------------------------------------------------------------
-
-
-class RunRules(StatefulProcessor):
-    """Judge a unit's frames in event-time order, across micro-batches."""
-
-    def __init__(
-        self, columns: list[str], places: dict[str, int], rules: list[str], horizon: int
-    ):
-        self.columns = columns
-        self.places = places
-        self.rules = rules
-        self.horizon = horizon
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        # Frames that were judged last, and frames that still wait.
-        self.state = handle.getValueState("frames", "judged binary, waiting binary")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        arrived = [chunk[self.columns] for chunk in rows]
-        yield from self._advance(key, arrived, timerValues)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._advance(key, [], timerValues)
-
-    def close(self) -> None:
-        pass
-
-    def _advance(self, key, arrived: list[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        judged, waiting = self._load()
-        frames = [f for f in (waiting, *arrived) if len(f)]
-        if not frames:
-            return
-        pending = pd.concat(frames, ignore_index=True) if len(frames) > 1 else frames[0]
-        watermark = timer_values.getCurrentWatermarkInMs() * 1000
-        due = pending[_MICROS].to_numpy() <= watermark
-        ready, later = pending[due], pending[~due].reset_index(drop=True)
-        if len(ready):
-            ready = ready.sort_values(
-                [_MICROS, f"value{self.places[CYCLE]}"], na_position="first", kind="stable"
-            )
-            run = pd.concat([judged, ready], ignore_index=True) if len(judged) else ready
-            run = run.reset_index(drop=True)
-            fresh = self._judge(run).iloc[len(judged):]
-            judged = run[self.columns].tail(self.horizon - 1).reset_index(drop=True)
-            yield fresh
-        self._store(judged, later)
-        if len(later):
-            self.handle.registerTimer(int(later[_MICROS].min()) // 1000 + 1)
-
-    def _judge(self, run: pd.DataFrame) -> pd.DataFrame:
-        read = {name: _Reading(run, place) for name, place in self.places.items()}
-        steps = range(1, self.horizon)
-        hits = {}
-        for n, code in enumerate(self.rules):
-            if code == C.ZOMBIE_STATE:
-                hit = read[CYCLE].below(read[CYCLE].back(1))
-            elif code == C.SENSOR_FREEZE:
-                hit = read["Nc"].differs(read["Nc"].back(self.horizon - 1))
-                for step in steps:
-                    hit = hit & read["P30"].equals(read["P30"].back(step))
-            else:
-                hit = read["phi"].back(1).below(read["phi"])
-                hit = hit & read["T50"].below(read["T50"].back(1))
-            hits[f"hit{n}"] = hit
-        return run[self.columns].assign(**hits)
-
-    def _load(self) -> tuple[pd.DataFrame, pd.DataFrame]:
-        stored = self.state.get()
-        if stored is None:
-            return pd.DataFrame(), pd.DataFrame()
-        return _from_bytes(stored[0]), _from_bytes(stored[1])
-
-    def _store(self, judged: pd.DataFrame, waiting: pd.DataFrame) -> None:
-        self.state.update((_to_bytes(judged), _to_bytes(waiting)))
-
-
-class _Reading:
-    """A column with its NULLs, compared as Spark compares: NULL is never a hit, NaN equals
-    itself and is above every number."""
-
-    def __init__(self, run: pd.DataFrame | None, place: int = 0):
-        if run is not None:
-            self.known = (run[_NULLS].to_numpy() & (1 << place)) == 0
-            self.value = run[f"value{place}"].to_numpy(dtype="float64")
-            self.nan = np.isnan(self.value)
-
-    def back(self, steps: int) -> _Reading:
-        shifted = _Reading(None)
-        shifted.known = np.concatenate([np.zeros(steps, bool), self.known])[: len(self.known)]
-        shifted.value = np.concatenate([np.zeros(steps), self.value])[: len(self.value)]
-        shifted.nan = np.concatenate([np.zeros(steps, bool), self.nan])[: len(self.nan)]
-        return shifted
-
-    def _both(self, other: _Reading) -> np.ndarray:
-        return self.known & other.known
-
-    def equals(self, other: _Reading) -> np.ndarray:
-        same = (self.value == other.value) | (self.nan & other.nan)
-        return self._both(other) & same
-
-    def differs(self, other: _Reading) -> np.ndarray:
-        return self._both(other) & ~self.equals(other)
-
-    def below(self, other: _Reading) -> np.ndarray:
-        less = (self.value < other.value) | (~self.nan & other.nan)
-        return self._both(other) & less
-
-
-def _to_bytes(frames: pd.DataFrame) -> bytes:
-    if not len(frames):
-        return b""
-    table = pa.Table.from_pandas(frames, preserve_index=False)
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema) as writer:
-        writer.write_table(table)
-    return sink.getvalue().to_pybytes()
-
-
-def _from_bytes(data: bytes | None) -> pd.DataFrame:
-    if not data:
-        return pd.DataFrame()
-    return pa.ipc.open_stream(pa.py_buffer(bytes(data))).read_all().to_pandas()

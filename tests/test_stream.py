@@ -1,4 +1,6 @@
 import os
+import subprocess
+import sys
 import time
 from datetime import timedelta
 
@@ -68,6 +70,21 @@ def test_stream_rules_equal_plain_python_over_batches_and_a_restart(spark, tmp_p
     assert {r for v in got.values() for r in v[0]} == set(SS.C.REASONS)
 
 
+def test_rows_out_of_order_within_the_watermark_are_judged_in_order(spark, tmp_path):
+    def row(second):
+        return frame(cycle=second // 50, second=second, Nc=8000.0 + second, phi=float(second),
+                     T50=1600.0 - second % 7)
+
+    batches = [[*range(0, 100, 5)], [92, 103, 110], [106, 104, 120], [118, 130, 112], [160], [220]]
+    source = Folder(spark, tmp_path / "in")
+    for batch in batches:
+        source.add([row(s) for s in batch])
+    got = as_results(drain(SS.shield_stream(source.stream(), START), tmp_path))
+    expected = shield_by_hand([row(s) for b in batches for s in b], START)
+    del expected[row(220)[:3]]
+    assert got == plain_results(expected)
+
+
 def test_duplicates_across_batches_and_late_rows(spark, tmp_path):
     source = Folder(spark, tmp_path / "in")
     source.add([frame(cycle=1, second=100), frame(cycle=1, second=101)])
@@ -120,3 +137,17 @@ def test_plain_ingest_is_map_only(spark, tmp_path):
     plan = query._jsq.explainInternal(False)
     assert "Exchange" not in plan
     assert K.read_lake(spark, str(tmp_path / "lake")).count() == 1
+
+
+def test_workers_need_no_package_for_the_stateful_operator(tmp_path):
+    from pyspark import cloudpickle
+
+    from fleetpulse.streaming import run_rules as R
+
+    rules = R.RunRules(["unit_number"], {R.CYCLE: 0}, [R.COUNTER_FELL], 5)
+    (tmp_path / "rules.pickle").write_bytes(cloudpickle.dumps(rules))
+    code = "import pickle; print(pickle.load(open('rules.pickle', 'rb')).horizon)"
+    ran = subprocess.run(
+        [sys.executable, "-I", "-c", code], cwd=tmp_path, capture_output=True, text=True
+    )
+    assert ran.stdout.strip() == "5", ran.stderr
