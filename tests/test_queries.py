@@ -9,6 +9,8 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as entry  # noqa: E402
 from check import canonical  # noqa: E402
+from fleetpulse.plans.catalog import QUERIES  # noqa: E402
+from fleetpulse.plans.oracles import ORACLES  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -23,10 +25,10 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, duck, name):
     ours = entry.queries()[name](spark, FOLDER).toPandas()
     theirs = duck.execute(entry.oracle_sql()[name]).df()
