@@ -60,7 +60,10 @@ def shard_documents(
     group = ["text_hash", "text_crc32", "size"]
     total = rows.count()
     part_rows = max(1, total // (4 * shards))
-    groups = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)
+    # Stored apart from the counting, so that the join below may split a hot group.
+    groups = cut_lineage(
+        rows.groupBy(*group).agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)
+    )
     start = F.pmod(F.xxhash64(F.lit("start"), "spread"), F.lit(shards)).cast("int")
     spread_parts = F.ceil(F.col("copies") / F.lit(part_rows))
     part = F.when(
