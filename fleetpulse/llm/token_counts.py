@@ -29,51 +29,74 @@ CHUNK_CHARS = 16_384
 OVERLAP_CHARS = 256
 BATCH_CHARS = 262_144
 LIMIT = 1024
+_PROBED = 1_024  # longer overlaps are searched by listing all places
 
 
 class Cuts:
-    """The encoding of text[begin:end]: where pre-tokens begin, and the token each begins with."""
+    """The encoding of text[begin:end], asked for the places where pre-tokens begin."""
 
     def __init__(self, tokenizer, text: str, begin: int, end: int):
-        encoding = tokenizer.encode(text[begin:end], add_special_tokens=False)
-        words = np.array([-1 if w is None else w for w in encoding.word_ids], np.int64)
-        self.begin, self.end, self.tokens = begin, end, len(words)
+        self.begin, self.end = begin, end
+        self.encoding = tokenizer.encode(text[begin:end], add_special_tokens=False)
+        self.tokens = len(self.encoding)
+
+    def token_at(self, place: int) -> int | None:
+        """The token with which a pre-token begins at this place, None if none does."""
+        if place == self.end:
+            return self.tokens
+        token = self.encoding.char_to_token(place - self.begin)
+        if token is None or self.encoding.token_to_chars(token)[0] + self.begin != place:
+            return None
+        word = self.encoding.token_to_word(token)
+        same = token > 0 and word is not None and word == self.encoding.token_to_word(token - 1)
+        return None if same else token
+
+    def places(self) -> np.ndarray:
+        """All places where a pre-token begins."""
+        words = np.array([-1 if w is None else w for w in self.encoding.word_ids], np.int64)
         first = np.ones(len(words), bool)
         first[1:] = (words[1:] != words[:-1]) | (words[1:] < 0)
-        self.token = np.flatnonzero(first)
-        offsets = encoding.offsets
-        self.place = np.array([offsets[n][0] + begin for n in self.token.tolist()], np.int64)
+        offsets = self.encoding.offsets
+        return np.array([offsets[n][0] for n in np.flatnonzero(first)], np.int64) + self.begin
 
-    def token_at(self, place: int) -> int:
-        return int(self.token[np.searchsorted(self.place, place)])
+
+def _common_place(left: Cuts, right: Cuts, low: int, high: int) -> int | None:
+    """The last place from ``low`` to ``high`` where pre-tokens of both begin."""
+    if high - low <= _PROBED:
+        for place in range(high, low - 1, -1):
+            if left.token_at(place) is not None and right.token_at(place) is not None:
+                return place
+        return None
+    common = np.intersect1d(left.places(), right.places())
+    common = common[(common >= low) & (common <= high)]
+    return int(common[-1]) if len(common) else None
 
 
 def count_long(
     tokenizer, text: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS, margin: int = 32
 ) -> int:
     """The number of tokens of a text, encoded in chunks."""
-    total, start, end = 0, 0, min(chunk, len(text))
+    total, start, first, end = 0, 0, 0, min(chunk, len(text))
     left = Cuts(tokenizer, text, 0, end)
     while end < len(text):
         width = overlap
         while True:
             begin = max(start, end - width)
             right = Cuts(tokenizer, text, begin, min(begin + width + chunk, len(text)))
-            common = np.intersect1d(left.place, right.place)
-            low = begin if begin == start else begin + margin
-            common = common[(common > start) & (common >= low) & (common <= end - margin)]
-            if len(common):
-                place = int(common[-1])
-                total += left.token_at(place) - left.token_at(start)
+            low = begin + 1 if begin == start else begin + margin
+            place = _common_place(left, right, low, end - margin)
+            if place is not None:
+                total += left.token_at(place) - first
                 left, start, end = right, place, right.end
+                first = left.token_at(place)
                 break
             if begin == start:  # one pre-token fills the chunk
                 end = min(end + (end - start), len(text))
-                left = Cuts(tokenizer, text, start, end)
+                left, first = Cuts(tokenizer, text, start, end), 0
                 if end == len(text):
                     break
             width *= 2
-    return total + (left.tokens - left.token_at(start) if start < len(text) else 0)
+    return total + left.tokens - first
 
 
 def load(data: str):
