@@ -70,10 +70,10 @@ def schedule_flights(
     """Start time and duration of every waiting flight on its unit's clock.
 
     A flight starts after an idle time from the end of the one before; the first counts from
-    the anchor. Durations and idle times are drawn from a hash of seed, unit and cycle unless
+    the unit's last booked end, or the anchor where the unit has none. Durations and idle times are drawn from a hash of seed, unit and cycle unless
     given as columns.
     """
-    waiting = ledger.filter(F.col("status") == PENDING)
+    waiting = _with_clock(ledger.filter(F.col("status") == PENDING), ledger, anchor)
     if duration is None:
         duration = _draw("duration", settings.min_duration_sec, settings.max_duration_sec, settings)
     if idle is None:
@@ -82,11 +82,26 @@ def schedule_flights(
         {"target_duration_sec": duration.cast("int"), "_idle": idle.cast("long")}
     ).withColumn("_step", F.col("_idle") + F.col("target_duration_sec"))
     summed = running_sum(timed, FLIGHT_RUNS, "_step", "_end", max_run_rows)
-    start = F.unix_micros(as_of_column(anchor)) + (
+    start = F.col("_clock") + (
         F.col("_end") - F.col("target_duration_sec")
     ) * F.lit(1_000_000)
     return summed.withColumn("flight_start_time", F.timestamp_micros(start)).drop(
-        "_idle", "_step", "_end"
+        "_idle", "_step", "_end", "_clock"
+    )
+
+
+def _with_clock(flights: DataFrame, ledger: DataFrame, anchor: AsOf) -> DataFrame:
+    """Adds the microsecond from which a unit may fly again: the end of its last booked flight,
+    the anchor without any."""
+    start = F.unix_micros(as_of_column(anchor))
+    if "flight_start_time" not in ledger.columns:
+        return flights.withColumn("_clock", start)
+    end = F.unix_micros(F.col("flight_start_time").cast("timestamp")) + F.col(
+        "target_duration_sec"
+    ).cast("long") * F.lit(1_000_000)
+    ends = ledger.groupBy(UNIT).agg(F.max(end).alias("_free")).filter(F.col("_free").isNotNull())
+    return join_checked(flights, ends, [UNIT], "left").select(
+        *flights.columns, F.coalesce("_free", start).alias("_clock")
     )
 
 
@@ -104,18 +119,26 @@ def reserve_next(
 ) -> DataFrame:
     """The ledger with each unit's next flight in the air, with its start and duration.
 
-    In real time a flight starts now; otherwise after an idle time from ``as_of``.
+    In real time a flight starts now; otherwise after an idle time from the end of the unit's
+    last booked flight, or from ``as_of`` where it has none.
     """
     if mode not in (REALTIME, ACCELERATED):
         raise ValueError(f"mode must be {REALTIME} or {ACCELERATED}")
+    if duration is None:
+        duration = _draw("duration", settings.min_duration_sec, settings.max_duration_sec, settings)
     if mode == REALTIME:
+        following = next_pending(ledger).withColumn("_clock", F.unix_micros(as_of_column(as_of)))
         idle = F.lit(0)
-    booked = schedule_flights(next_pending(ledger), as_of, settings, duration, idle)
-    booked = booked.select(
+    else:
+        following = _with_clock(next_pending(ledger), ledger, as_of)
+        if idle is None:
+            idle = _draw("idle", settings.idle_min_sec, settings.idle_max_sec, settings)
+    begin = F.col("_clock") + idle.cast("long") * F.lit(1_000_000)
+    booked = following.select(
         *FLIGHT_KEY,
         F.lit(IN_FLIGHT).alias("_status"),
-        F.col("flight_start_time").alias("_start"),
-        F.col("target_duration_sec").alias("_duration"),
+        F.timestamp_micros(begin).alias("_start"),
+        duration.cast("int").alias("_duration"),
     )
     joined = join_checked(ledger, booked, list(FLIGHT_KEY), "left")
     return joined.withColumns(

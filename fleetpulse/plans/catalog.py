@@ -267,6 +267,30 @@ def lake_compact(spark, sf_dir):
     )
 
 
+@query
+def lake_two_loads(spark, sf_dir):
+    """Two loads of one day stand side by side; writing one of them again changes nothing."""
+    path = scratch_path(spark, "lake")
+    frames = FR.with_ingest_columns(_deduplicated(spark, sf_dir), AS_OF)
+    even = F.col(CYCLE) % 2 == 0
+    K.write_lake(frames.filter(even), path, "even")
+    K.write_lake(frames.filter(~even), path, "odd")
+    K.write_lake(frames.filter(even), path, "even")
+    return K.read_lake(spark, path).select(UNIT, CYCLE, TS, *READINGS, "processing_date")
+
+
+@query
+def mart_rebuild(spark, sf_dir):
+    """A second build, for which one day is flagged, leaves nothing of the first."""
+    path = scratch_path(spark, "mart")
+    frames = _shielded(spark, sf_dir)
+    K.write_mart(M.health_mart(M.staging(frames), sized_by=_sizes(spark, sf_dir)), path)
+    day = F.to_date(TS) == F.lit("2024-01-28").cast("date")
+    flagged = frames.withColumn(C.FLAG, F.col(C.FLAG) | day)
+    K.write_mart(M.health_mart(M.staging(flagged), sized_by=_sizes(spark, sf_dir)), path)
+    return K.read_mart(spark, path).select(UNIT, CYCLE, M.EVENT_TS, "T50", "event_date", M.AVERAGE)
+
+
 @query
 def mart_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "mart")
@@ -300,6 +324,18 @@ def ledger_reserve(spark, sf_dir):
     )
 
 
+@query
+def ledger_reserve_twice(spark, sf_dir):
+    """Reserve, land, reserve again: the second flight starts from the end of the first."""
+    book = V.ledger(spark, sf_dir).withColumn("flight_start_time", F.lit(None).cast("timestamp"))
+    times = {"duration": F.col("target_duration_sec"), "idle": F.col("idle_sec")}
+    first = L.reserve_next(book, ANCHOR, **times)
+    landed = first.withColumn(
+        "status", F.when(F.col("flight_start_time").isNotNull(), "COMPLETED").otherwise(F.col("status"))
+    )
+    return L.reserve_next(landed, ANCHOR, **times)
+
+
 @query
 def ledger_apply_reports(spark, sf_dir):
     reports = V.run_view(spark, V.REPORTS, sf_dir, "orders")
@@ -417,16 +453,40 @@ def _telemetry_stream(spark, sf_dir):
 @query
 def stream_ingest(spark, sf_dir):
     """Wire frames from files into the lake."""
+    lake = _streamed_lake(spark, sf_dir)
+    rows = K.read_lake(spark, lake)
+    return rows.select(UNIT, CYCLE, TS, *READINGS, C.FLAG, REASON, "processing_date")
+
+
+def _streamed_lake(spark, sf_dir):
     path, files = V.write_slices(V.telemetry(spark, sf_dir), as_json=True)
     lake = scratch_path(spark, "lake")
     start_lake_ingest(
         spark, FR.FileSource(path, files), lake, scratch_path(spark, "checkpoint"),
         as_of=AS_OF, once=True,
     ).awaitTermination()
+    return lake
+
+
+@query
+def stream_lake_compact(spark, sf_dir):
+    """A lake written by a stream holds the same rows after its day was compacted."""
+    lake = _streamed_lake(spark, sf_dir)
+    K.compact_lake(spark, lake, "2024-01-31")
     rows = K.read_lake(spark, lake)
     return rows.select(UNIT, CYCLE, TS, *READINGS, C.FLAG, REASON, "processing_date")
 
 
+@query
+def lake_stream_and_batch(spark, sf_dir):
+    """A stream and a batch load share a day of the lake, and compaction keeps both."""
+    lake = _streamed_lake(spark, sf_dir)
+    K.compact_lake(spark, lake, "2024-01-31")
+    K.write_lake(FR.with_ingest_columns(_deduplicated(spark, sf_dir), AS_OF), lake, "batch")
+    K.compact_lake(spark, lake, "2024-01-31")
+    return K.read_lake(spark, lake).select(UNIT, CYCLE, TS, *READINGS, "processing_date")
+
+
 @query
 def stream_dedup(spark, sf_dir):
     frames = drop_duplicates_stream(_telemetry_stream(spark, sf_dir))

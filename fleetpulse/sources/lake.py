@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +20,9 @@ from fleetpulse.schema import (
 LAKE_KEYS = ("processing_date", UNIT)
 EDGE_KEYS = ("run_id", "unit", "date")
 
+_COMPACTED = "compacted-"
+_MANIFEST = "day date, load_id string, replaced_by string"
+
 # How tick files are encoded.
 EDGE_PARQUET = {
     "compression": "snappy",
@@ -47,20 +53,84 @@ def lake_rows(frames: DataFrame) -> DataFrame:
     )
 
 
-def write_lake(frames: DataFrame, path: str) -> None:
-    """Replace exactly the partitions that the frames fall into."""
-    _replace(rebalanced(lake_rows(frames), *LAKE_KEYS), path, LAKE_KEYS)
+def write_lake(frames: DataFrame, path: str, load: str | None = None) -> None:
+    """Add the frames to the lake as one load.
+
+    A load is a folder of its own, so loads of the same day stand side by side, whether they
+    come from a batch or a stream. Writing a load again under its name replaces just that load;
+    without a name every call adds a new one.
+    """
+    load = load or f"batch-{uuid.uuid4().hex}"
+    if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]*", load) or load.startswith(_COMPACTED):
+        raise ValueError(f"not a load name: {load}")
+    _write_load(rebalanced(lake_rows(frames), *LAKE_KEYS), path, load)
+
+
+def _write_load(rows: DataFrame, path: str, load: str) -> None:
+    target = f"{path.rstrip('/')}/load_id={load}"
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+        *LAKE_KEYS
+    ).parquet(target)
 
 
 def read_lake(spark: SparkSession, path: str) -> DataFrame:
     """The lake with its declared schema; both partition keys come from the folder names."""
-    return spark.read.schema(lake_schema()).option("basePath", path).parquet(path)
+    return _visible(spark, path).drop("load_id")
+
+
+def _visible(spark: SparkSession, path: str) -> DataFrame:
+    """All rows that count, with their load.
+
+    Compaction publishes one manifest file that names, for a day, the loads it replaced. Until
+    then its own load is not read, and from then on theirs are not.
+    """
+    schema = T.StructType([T.StructField("load_id", T.StringType()), *lake_schema().fields])
+    rows = spark.read.schema(schema).option("basePath", path).parquet(path)
+    replaced, published = [], []
+    for entry in _manifest(spark, path):
+        replaced.append((entry.day, entry.load_id))
+        published.append((entry.day, entry.replaced_by))
+    shown = ~F.col("load_id").startswith(_COMPACTED) | _any_of(published)
+    return rows.filter(shown & ~_any_of(replaced))
+
+
+def _any_of(pairs: list[tuple[date, str]]) -> Column:
+    """Whether a row belongs to one of these days and loads; prunes folders."""
+    found = F.lit(False)
+    by_day: dict[date, set[str]] = {}
+    for day, load in pairs:
+        by_day.setdefault(day, set()).add(load)
+    for day, loads in by_day.items():
+        found = found | ((F.col("processing_date") == F.lit(day)) & F.col("load_id").isin(*sorted(loads)))
+    return found
+
+
+def _manifest(spark: SparkSession, path: str) -> list[Row]:
+    """One row for each load that a compaction has replaced on a day."""
+    try:
+        return spark.read.schema(_MANIFEST).parquet(f"{path.rstrip('/')}/_manifest").collect()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
 
 
 def compact_lake(spark: SparkSession, path: str, day: date | str) -> None:
-    """Rewrite one ingest date with few files per unit."""
-    rows = read_lake(spark, path).filter(F.col("processing_date") == date_literal(day))
-    _replace(rebalanced(rows, *LAKE_KEYS).sortWithinPartitions(*LAKE_KEYS, TS), path, LAKE_KEYS)
+    """Rewrite one ingest date with few files per unit, out of the loads that are there now.
+
+    Loads that arrive meanwhile stay as they are. A failure before the manifest is written
+    changes nothing for readers. One day of one lake is compacted by one caller at a time.
+    """
+    rows = _visible(spark, path).filter(F.col("processing_date") == date_literal(day))
+    loads = sorted(r.load_id for r in rows.select("load_id").distinct().collect())
+    if not loads:
+        return
+    name = f"{_COMPACTED}{uuid.uuid4().hex}"
+    merged = rows.filter(F.col("load_id").isin(*loads)).drop("load_id")
+    _write_load(rebalanced(merged, *LAKE_KEYS).sortWithinPartitions(*LAKE_KEYS, TS), path, name)
+    whole = date.fromisoformat(day) if isinstance(day, str) else day
+    entries = spark.createDataFrame([(whole, load, name) for load in loads], _MANIFEST)
+    entries.coalesce(1).write.mode("append").parquet(f"{path.rstrip('/')}/_manifest")
 
 
 def _replace(df: DataFrame, path: str, keys: tuple[str, ...], **options: str) -> None:
@@ -91,6 +161,7 @@ def seed_lake(spark: SparkSession, path: str, as_of: AsOf = None) -> None:
             F.to_date(now).alias("processing_date"),
         ),
         path,
+        "seed",
     )
 
 
@@ -111,11 +182,16 @@ def read_edge(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_mart(mart: DataFrame, path: str) -> None:
-    """One folder per event date, rows sorted by unit so that page statistics prune by unit."""
+    """Replace the stored mart as a whole: days that are gone from the mart go.
+
+    One folder per event date, rows sorted by unit so that page statistics prune by unit.
+    """
     rows = rebalanced(mart, "event_date").sortWithinPartitions(
         "event_date", UNIT, CYCLE, "event_timestamp"
     )
-    _replace(rows, path, ("event_date",))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+        "event_date"
+    ).parquet(path)
 
 
 def read_mart(spark: SparkSession, path: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -11,7 +13,7 @@ from fleetpulse.sources.frames import (
     FileSource, TopicSource, accepted_frames, decode_frames, read_frames_stream,
     rejected_frames, with_ingest_columns,
 )
-from fleetpulse.sources.lake import LAKE_KEYS, lake_rows
+from fleetpulse.sources.lake import lake_rows, write_lake
 from fleetpulse.streaming.shield import shield_stream
 
 # Fixed value: how often a micro-batch starts.
@@ -47,15 +49,23 @@ def start_lake_ingest(
     as_of: AsOf = None,
     once: bool = False,
 ) -> StreamingQuery:
-    """Decode frames and append them to the lake, through the quality rules if asked for.
+    """Decode frames and add them to the lake, through the quality rules if asked for.
 
-    Map-only without the rules; files are merged later by ``compact_lake``.
+    Each micro-batch is a load named by the checkpoint and its number, so a batch that is tried
+    again replaces itself. ``compact_lake`` merges them later, beside the running stream.
     """
     frames = accepted_frames(decode_frames(read_frames_stream(spark, source)))
     if shield is not None:
         frames = shield_stream(frames, as_of, shield)
     rows = lake_rows(with_ingest_columns(frames, as_of))
-    return write_stream(rows, path, checkpoint, LAKE_KEYS, once)
+    name = "stream-" + hashlib.md5(checkpoint.encode()).hexdigest()[:12]
+
+    def land(batch: DataFrame, number: int) -> None:
+        write_lake(batch, path, f"{name}-{number}")
+
+    writer = rows.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=TRIGGER)
+    return writer.start()
 
 
 def start_quarantine(

@@ -16,20 +16,23 @@ def frames(spark, seconds, unit=1):
     return spark.createDataFrame([frame(unit=unit, second=s) for s in seconds], COLUMNS)
 
 
-def test_lake_replaces_only_touched_partitions(spark, tmp_path):
+def test_loads_of_a_day_stand_side_by_side_and_replace_only_themselves(spark, tmp_path):
     path = str(tmp_path / "lake")
-    ingest = lambda df, day: K.write_lake(FR.with_ingest_columns(df, day), path)
+    ingest = lambda df, day, load=None: K.write_lake(FR.with_ingest_columns(df, day), path, load)
     ingest(frames(spark, range(3)), "2024-01-01")
     ingest(frames(spark, range(5), unit=2), "2024-01-01")
-    ingest(frames(spark, range(4)), "2024-01-02")
-    ingest(frames(spark, range(2)), "2024-01-02")
+    ingest(frames(spark, range(1)), "2024-01-01")
+    ingest(frames(spark, range(4)), "2024-01-02", "named")
+    ingest(frames(spark, range(2)), "2024-01-02", "named")
     lake = K.read_lake(spark, path)
     got = {
         (str(r.processing_date), r.unit_number): r["count"]
         for r in lake.groupBy("processing_date", "unit_number").count().collect()
     }
-    assert got == {("2024-01-01", 1): 3, ("2024-01-01", 2): 5, ("2024-01-02", 1): 2}
+    assert got == {("2024-01-01", 1): 4, ("2024-01-01", 2): 5, ("2024-01-02", 1): 2}
     assert lake.first().corruption_reason == ""
+    with pytest.raises(ValueError):
+        ingest(frames(spark, range(2)), "2024-01-02", "compacted-by-hand")
 
 
 def test_lake_scan_prunes_partitions_and_columns(spark, tmp_path):
@@ -47,14 +50,32 @@ def test_lake_scan_prunes_partitions_and_columns(spark, tmp_path):
 
 def test_compaction_keeps_rows_and_merges_files(spark, tmp_path):
     path = str(tmp_path / "lake")
-    rows = K.lake_rows(FR.with_ingest_columns(frames(spark, range(40)), "2024-01-01"))
-    for _ in range(2):
-        rows.repartition(4).write.mode("append").partitionBy(*K.LAKE_KEYS).parquet(path)
-    other = FR.with_ingest_columns(frames(spark, range(4)), "2024-01-02")
-    K.lake_rows(other).write.mode("append").partitionBy(*K.LAKE_KEYS).parquet(path)
+    for seconds, day in ((range(40), "2024-01-01"), (range(40, 80), "2024-01-01"), (range(4), "2024-01-02")):
+        K.write_lake(FR.with_ingest_columns(frames(spark, seconds), day), path)
     K.compact_lake(spark, path, "2024-01-01")
-    assert len(glob.glob(f"{path}/processing_date=2024-01-01/unit_number=1/*.parquet")) == 1
+    K.compact_lake(spark, path, "2024-01-03")
     assert K.read_lake(spark, path).count() == 84
+    K.write_lake(FR.with_ingest_columns(frames(spark, range(9)), "2024-01-01"), path)
+    assert K.read_lake(spark, path).count() == 93
+    K.compact_lake(spark, path, "2024-01-01")
+    day = K.read_lake(spark, path).filter("processing_date = DATE'2024-01-01'")
+    assert day.count() == 89 and len(day.select("_metadata.file_path").distinct().collect()) == 1
+
+
+def test_unpublished_compaction_is_not_read(spark, tmp_path):
+    path = str(tmp_path / "lake")
+    rows = K.lake_rows(FR.with_ingest_columns(frames(spark, range(5)), "2024-01-01"))
+    K.write_lake(FR.with_ingest_columns(frames(spark, range(5)), "2024-01-01"), path)
+    K._write_load(rows, path, "compacted-broken")
+    assert K.read_lake(spark, path).count() == 5
+
+
+def test_mart_is_replaced_as_a_whole(spark, tmp_path):
+    path = str(tmp_path / "mart")
+    for seconds in ((0, 86_400), (0,)):
+        clean = FR.with_ingest_columns(frames(spark, seconds), START)
+        K.write_mart(M.health_mart(M.staging(clean)), path)
+    assert K.read_mart(spark, path).count() == 1
 
 
 def test_seed_gives_readers_a_schema(spark, tmp_path):

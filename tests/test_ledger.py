@@ -46,6 +46,21 @@ def test_next_pending_and_reservation(spark):
         L.reserve_next(df, ANCHOR, "FAST")
 
 
+def test_later_bookings_never_overlap_earlier_ones(spark):
+    df = spark.createDataFrame(
+        [(u, c, "PENDING", None, None) for u in (1, 2) for c in range(1, 7)],
+        "unit_number int, time_cycles int, status string, flight_start_time timestamp, target_duration_sec int",
+    )
+    for _ in range(3):
+        df = L.reserve_next(df, ANCHOR).replace("IN_FLIGHT", "COMPLETED", "status")
+    rest = L.schedule_flights(df, ANCHOR)
+    booked = df.filter("status = 'COMPLETED'").unionByName(rest).collect()
+    assert len(booked) == 12
+    for unit in (1, 2):
+        mine = sorted((r.flight_start_time, r.target_duration_sec) for r in booked if r.unit_number == unit)
+        assert all((b[0] - a[0]).total_seconds() >= a[1] for a, b in zip(mine, mine[1:]))
+
+
 def test_last_report_wins_and_unknown_flights_are_ignored(spark):
     df = ledger(spark, (1, 1, "IN_FLIGHT"), (1, 2, "IN_FLIGHT"))
     reports = spark.createDataFrame(
