@@ -49,3 +49,8 @@ def drop_duplicates_by_unit(df: DataFrame) -> DataFrame:
         .filter(F.col("_place") == 1)
         .drop("_by", "_place")
     )
+
+
+def top_rows(df: DataFrame, count: int, *order: Column) -> DataFrame:
+    """The first ``count`` rows in this order; each task keeps that many at most."""
+    return df.orderBy(*order).limit(count)

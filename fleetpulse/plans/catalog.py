@@ -14,7 +14,7 @@ from fleetpulse.operators import ledger as L
 from fleetpulse.operators import rul as R
 from fleetpulse.operators import shield as S
 from fleetpulse.operators import ticks as X
-from fleetpulse.operators.pick import drop_duplicate_frames
+from fleetpulse.operators.pick import drop_duplicate_frames, top_rows
 from fleetpulse.plans import marts as M
 from fleetpulse.plans import sample_views as V
 from fleetpulse.schema import CYCLE, REASON, SENSORS, TS, UNIT
@@ -92,6 +92,14 @@ def frame_roundtrip(spark, sf_dir):
     return back.select(UNIT, CYCLE, TS, *READINGS, "processing_at")
 
 
+@query
+def frames_batch_read(spark, sf_dir):
+    """Wire frames read from files as one bounded batch."""
+    path, files = V.write_slices(V.telemetry(spark, sf_dir), as_json=True)
+    frames = FR.accepted_frames(FR.decode_frames(FR.read_frames_batch(spark, FR.FileSource(path, files))))
+    return frames.select(UNIT, CYCLE, TS, *READINGS)
+
+
 def _lines(spark, sf_dir):
     lines = V.run_view(spark, V.LINES, sf_dir, "lineitem", heavy=True)
     text = once(lines.withColumnRenamed("line", "_line"), "line", F.col("_line")).select("line")
@@ -103,6 +111,14 @@ def text_parse_valid(spark, sf_dir):
     return TX.accepted_lines(_lines(spark, sf_dir))
 
 
+@query
+def blueprint_load(spark, sf_dir):
+    """The same lines from text files."""
+    path = scratch_path(spark, "blueprint")
+    V.run_view(spark, V.LINES, sf_dir, "lineitem", heavy=True).select("line").write.text(path)
+    return TX.accepted_lines(TX.parse_lines(TX.read_lines(spark, path)))
+
+
 @query
 def text_parse_rejects(spark, sf_dir):
     return TX.rejected_lines(_lines(spark, sf_dir))
@@ -129,6 +145,13 @@ def dedup_frames(spark, sf_dir):
     return _deduplicated(spark, sf_dir).select(UNIT, CYCLE, TS, *READINGS)
 
 
+@query
+def top_frames(spark, sf_dir):
+    """The hundred hottest frames."""
+    frames = _deduplicated(spark, sf_dir).select(UNIT, CYCLE, TS, *READINGS)
+    return top_rows(frames, 100, F.col("T50").desc(), F.col(UNIT), F.col(CYCLE), F.col(TS))
+
+
 @query
 def age_filter(spark, sf_dir):
     kept = S.drop_stale(_deduplicated(spark, sf_dir), AS_OF, SAMPLE_SHIELD)
@@ -202,8 +225,13 @@ def _sizes(spark, sf_dir):
     return M.sizes_of(V.telemetry(spark, sf_dir))
 
 
+def _fresh_sizes(spark, sf_dir):
+    """The frames that the age filter leaves; their count scan is as narrow as the mart's."""
+    return M.sizes_of(S.drop_stale(V.telemetry(spark, sf_dir), AS_OF, SAMPLE_SHIELD))
+
+
 def _mart(spark, sf_dir):
-    return M.health_mart(_staged(spark, sf_dir), sized_by=_sizes(spark, sf_dir))
+    return M.health_mart(_staged(spark, sf_dir), sized_by=_fresh_sizes(spark, sf_dir))
 
 
 @query
@@ -211,6 +239,12 @@ def stg_telemetry(spark, sf_dir):
     return _staged(spark, sf_dir)
 
 
+@query
+def staging_view_read(spark, sf_dir):
+    """Staging published as a view and read by its name."""
+    return M.staging_view(_shielded(spark, sf_dir), "stg_telemetry_view")
+
+
 @query
 def mart_engine_health(spark, sf_dir):
     return _mart(spark, sf_dir)
@@ -225,7 +259,8 @@ def mart_all_frames(spark, sf_dir):
 
 @query
 def mart_per_cycle(spark, sf_dir):
-    return M.health_per_cycle(_staged(spark, sf_dir), sized_by=_sizes(spark, sf_dir))
+    cycles = _fresh_sizes(spark, sf_dir).select(UNIT, CYCLE).distinct()
+    return M.health_per_cycle(_staged(spark, sf_dir), sized_by=cycles)
 
 
 @query
@@ -267,6 +302,15 @@ def lake_compact(spark, sf_dir):
     )
 
 
+@query
+def lake_seed(spark, sf_dir):
+    """A seeded lake and a load on top of it."""
+    path = scratch_path(spark, "lake")
+    K.seed_lake(spark, path, AS_OF)
+    K.write_lake(FR.with_ingest_columns(_deduplicated(spark, sf_dir), AS_OF), path, "frames")
+    return K.read_lake(spark, path).select(UNIT, CYCLE, TS, *READINGS, "processing_date")
+
+
 @query
 def lake_two_loads(spark, sf_dir):
     """Two loads of one day stand side by side; writing one of them again changes nothing."""
@@ -284,10 +328,10 @@ def mart_rebuild(spark, sf_dir):
     """A second build, for which one day is flagged, leaves nothing of the first."""
     path = scratch_path(spark, "mart")
     frames = _shielded(spark, sf_dir)
-    K.write_mart(M.health_mart(M.staging(frames), sized_by=_sizes(spark, sf_dir)), path)
+    K.write_mart(M.health_mart(M.staging(frames), sized_by=_fresh_sizes(spark, sf_dir)), path)
     day = F.to_date(TS) == F.lit("2024-01-28").cast("date")
     flagged = frames.withColumn(C.FLAG, F.col(C.FLAG) | day)
-    K.write_mart(M.health_mart(M.staging(flagged), sized_by=_sizes(spark, sf_dir)), path)
+    K.write_mart(M.health_mart(M.staging(flagged), sized_by=_fresh_sizes(spark, sf_dir)), path)
     return K.read_mart(spark, path).select(UNIT, CYCLE, M.EVENT_TS, "T50", "event_date", M.AVERAGE)
 
 

@@ -91,10 +91,14 @@ def strict_lines(parsed: DataFrame) -> DataFrame:
 def read_blueprint(
     spark: SparkSession, path: str | list[str], strict: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """Blueprint rows and rejected lines. In strict mode reading the rows fails on a reject."""
-    parsed = parse_lines(read_lines(spark, path, numbered=True))
-    rows = strict_lines(parsed) if strict else accepted_lines(parsed)
-    return rows, rejected_lines(parsed)
+    """Blueprint rows and rejected lines. In strict mode reading the rows fails on a reject.
+
+    Accepted rows come straight from the scan; only what names a line needs line numbers.
+    """
+    numbered = parse_lines(read_lines(spark, path, numbered=True))
+    if strict:
+        return strict_lines(numbered), rejected_lines(numbered)
+    return accepted_lines(parse_lines(read_lines(spark, path))), rejected_lines(numbered)
 
 
 def read_life_vector(spark: SparkSession, path: str) -> DataFrame:
