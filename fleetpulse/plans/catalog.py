@@ -24,7 +24,7 @@ from fleetpulse.sources import frames as FR
 from fleetpulse.sources import lake as K
 from fleetpulse.sources import text as TX
 from fleetpulse.streaming.ingest import start_lake_ingest, write_stream
-from fleetpulse.streaming.shield import drop_duplicates_stream, shield_stream
+from fleetpulse.streaming.shield import closing_frame, drop_duplicates_stream, shield_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -487,9 +487,11 @@ def _drain(spark, df, keys=()):
     return spark.read.schema(df.schema).parquet(out)
 
 
-def _telemetry_stream(spark, sf_dir):
+def _telemetry_stream(spark, sf_dir, closed=False):
     frames = V.telemetry(spark, sf_dir)
     path, files = V.write_slices(frames)
+    if closed:
+        closing_frame(frames).write.mode("append").parquet(path)
     reader = spark.readStream.schema(frames.schema).option("maxFilesPerTrigger", files)
     return reader.parquet(path)
 
@@ -539,6 +541,6 @@ def stream_dedup(spark, sf_dir):
 
 @query
 def stream_shield(spark, sf_dir):
-    """All rules on a stream; frames the last watermark has not passed are still inside."""
-    frames = shield_stream(_telemetry_stream(spark, sf_dir), AS_OF, SAMPLE_SHIELD)
+    """All rules on a stream that ends: a closing frame releases the last ones."""
+    frames = shield_stream(_telemetry_stream(spark, sf_dir, closed=True), AS_OF, SAMPLE_SHIELD)
     return _drain(spark, frames)

@@ -34,6 +34,18 @@ def drop_duplicates_stream(
     return frames.withWatermark(TS, settings.watermark).dropDuplicates(list(FRAME_KEY))
 
 
+def closing_frame(frames: DataFrame, at: str = "2200-01-01 00:00:00") -> DataFrame:
+    """One frame of no unit, far after all others.
+
+    Read last from a bounded source, it moves the watermark past every real frame, so the look-back
+    rules release all that still waits. It waits itself and never leaves.
+    """
+    made = {UNIT: F.lit(-1), TS: F.lit(at)}
+    return frames.sparkSession.range(1).select(
+        *[made.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in frames.schema.fields]
+    )
+
+
 def shield_stream(
     frames: DataFrame, as_of: AsOf = None, settings: ShieldSettings = ShieldSettings()
 ) -> DataFrame:
