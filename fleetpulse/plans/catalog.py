@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +25,9 @@ from fleetpulse.sources import frames as FR
 from fleetpulse.sources import lake as K
 from fleetpulse.sources import text as TX
 from fleetpulse.streaming.ingest import start_lake_ingest, write_stream
-from fleetpulse.streaming.shield import closing_frame, drop_duplicates_stream, shield_stream
+from fleetpulse.streaming.shield import (
+    closing_frame, drop_duplicates_stream, late_frames, shield_stream,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -119,6 +122,20 @@ def blueprint_load(spark, sf_dir):
     return TX.accepted_lines(TX.parse_lines(TX.read_lines(spark, path)))
 
 
+@query
+def blueprint_rejects(spark, sf_dir):
+    """Bad lines of text files, by the folder of their file and their number in it.
+
+    Each folder gets one file, written in the order of its lines.
+    """
+    path = scratch_path(spark, "blueprint")
+    lines = V.run_view(spark, V.FILED_LINES, sf_dir, "lineitem", heavy=True)
+    lines.repartition("batch").sortWithinPartitions("batch", "line").write.partitionBy("batch").text(path)
+    rejects = TX.read_blueprint(spark, path)[1]
+    batch = F.regexp_extract("file", r"batch=(\d+)", 1).cast("int")
+    return rejects.select(batch.alias("batch"), "line_number", "line", TX.REJECT)
+
+
 @query
 def text_parse_rejects(spark, sf_dir):
     return TX.rejected_lines(_lines(spark, sf_dir))
@@ -263,14 +280,21 @@ def mart_per_cycle(spark, sf_dir):
     return M.health_per_cycle(_staged(spark, sf_dir), sized_by=cycles)
 
 
+def _stored_mart(spark, sf_dir):
+    """The mart written down and read back, as whoever serves it reads it."""
+    path = scratch_path(spark, "mart")
+    K.write_mart(_mart(spark, sf_dir), path)
+    return K.read_mart(spark, path)
+
+
 @query
 def engine_trend(spark, sf_dir):
-    return M.engine_trend(_mart(spark, sf_dir), **TREND)
+    return M.engine_trend(_stored_mart(spark, sf_dir), **TREND)
 
 
 @query
 def trend_long(spark, sf_dir):
-    return M.trend_long(M.engine_trend(_mart(spark, sf_dir), **TREND))
+    return M.trend_long(M.engine_trend(_stored_mart(spark, sf_dir), **TREND))
 
 
 @query
@@ -329,22 +353,56 @@ def mart_rebuild(spark, sf_dir):
     path = scratch_path(spark, "mart")
     frames = _shielded(spark, sf_dir)
     K.write_mart(M.health_mart(M.staging(frames), sized_by=_fresh_sizes(spark, sf_dir)), path)
-    day = F.to_date(TS) == F.lit("2024-01-28").cast("date")
-    flagged = frames.withColumn(C.FLAG, F.col(C.FLAG) | day)
+    flagged = _without_a_day(frames)
     K.write_mart(M.health_mart(M.staging(flagged), sized_by=_fresh_sizes(spark, sf_dir)), path)
-    return K.read_mart(spark, path).select(UNIT, CYCLE, M.EVENT_TS, "T50", "event_date", M.AVERAGE)
+    return _mart_columns(K.read_mart(spark, path))
+
+
+def _without_a_day(frames):
+    day = F.to_date(TS) == F.lit("2024-01-28").cast("date")
+    return frames.withColumn(C.FLAG, F.col(C.FLAG) | day)
+
+
+def _mart_columns(mart):
+    return mart.select(UNIT, CYCLE, M.EVENT_TS, "T50", "event_date", M.AVERAGE)
+
+
+@query
+def mart_day_range(spark, sf_dir):
+    """Three days of a stored mart are built again; the middle one has nothing left."""
+    path = scratch_path(spark, "mart")
+    frames = _shielded(spark, sf_dir)
+    K.write_mart(M.health_mart(M.staging(frames), sized_by=_fresh_sizes(spark, sf_dir)), path)
+    days = "2024-01-27", "2024-01-29"
+    K.write_mart_days(spark, M.health_mart_days(M.staging(_without_a_day(frames)), *days), path, *days)
+    return _mart_columns(K.read_mart(spark, path))
 
 
 @query
 def mart_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "mart")
     K.write_mart(M.health_mart(M.staging(_stored_lake(spark, sf_dir))), path)
-    return K.read_mart(spark, path).select(UNIT, CYCLE, M.EVENT_TS, "T50", "event_date", M.AVERAGE)
+    return _mart_columns(K.read_mart(spark, path))
 
 
 # --- ledger -----------------------------------------------------------------------------
 
 
+@query
+def ledger_rebuild(spark, sf_dir):
+    """A ledger table made from blueprint rows, made twice."""
+    blueprint = TX.accepted_lines(_lines(spark, sf_dir))
+    name, path = f"ledger_{uuid.uuid4().hex}", scratch_path(spark, "ledger")
+    for _ in range(2):
+        K.rebuild_table(L.new_ledger(blueprint), name, path)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # its files stay
+    return table.select(
+        "status", F.col("flight_start_time").isNotNull().alias("has_start"),
+        F.col("target_duration_sec").isNotNull().alias("has_duration"), UNIT, CYCLE, *SENSORS,
+    )
+
+
 @query
 def ledger_recover(spark, sf_dir):
     return L.recover_ledger(V.ledger(spark, sf_dir))
@@ -449,9 +507,10 @@ def tick_noise(spark, sf_dir):
 
 @query
 def edge_roundtrip(spark, sf_dir):
+    """Frames as tick files, under the day on which they were taken."""
     path = scratch_path(spark, "edge")
-    ticks = X.with_noise(X.expand_ticks(_scheduled(V.flights(spark, sf_dir)), hz=1), "run_1")
-    K.write_edge(X.edge_rows(ticks, "run_1"), path)
+    frames = _deduplicated(spark, sf_dir).withColumn("flight_start_time", F.date_trunc("day", TS))
+    K.write_edge(X.edge_rows(frames, "run_1"), path)
     return (
         K.read_edge(spark, path)
         .groupBy("run_id", "unit", "date")
@@ -459,7 +518,7 @@ def edge_roundtrip(spark, sf_dir):
             F.count(F.lit(1)).alias("ticks"),
             F.min(TS).alias("first_tick"),
             F.max(TS).alias("last_tick"),
-            F.sum("op_setting_3").alias("setting_total"),
+            F.sum("Nc").alias("nc_total"),
         )
     )
 
@@ -478,6 +537,27 @@ def rul_truth_join(spark, sf_dir):
     return R.join_truth(frames, V.truth(frames))
 
 
+def _life_vector(spark, sf_dir):
+    """A life vector from its text file, line i for unit i; one line per supplier here."""
+    path = scratch_path(spark, "life")
+    V.run_view(spark, V.LIVES, sf_dir, "supplier").coalesce(1).sortWithinPartitions("s_suppkey").select(
+        "line"
+    ).write.text(path)
+    return TX.read_life_vector(spark, path)
+
+
+@query
+def life_vector_join(spark, sf_dir):
+    frames = V.telemetry(spark, sf_dir).select(UNIT, CYCLE, TS)
+    return R.join_truth(frames, _life_vector(spark, sf_dir))
+
+
+@query
+def life_vector_check(spark, sf_dir):
+    """Units without an entry, and entries without a unit."""
+    return R.check_truth(V.telemetry(spark, sf_dir), _life_vector(spark, sf_dir))
+
+
 # --- streams ----------------------------------------------------------------------------
 
 
@@ -487,9 +567,15 @@ def _drain(spark, df, keys=()):
     return spark.read.schema(df.schema).parquet(out)
 
 
-def _telemetry_stream(spark, sf_dir, closed=False):
+# Frames that the sample holds back until all others have come.
+HELD_BACK = "time_cycles % 9 = 4 AND timestamp < TIMESTAMP'2024-01-23'"
+
+
+def _telemetry_stream(spark, sf_dir, closed=False, held_back=None):
     frames = V.telemetry(spark, sf_dir)
-    path, files = V.write_slices(frames)
+    path, files = V.write_slices(frames.filter(f"NOT ({held_back})") if held_back else frames)
+    if held_back:
+        frames.filter(held_back).repartition(files).write.mode("append").parquet(path)
     if closed:
         closing_frame(frames).write.mode("append").parquet(path)
     reader = spark.readStream.schema(frames.schema).option("maxFilesPerTrigger", files)
@@ -544,3 +630,24 @@ def stream_shield(spark, sf_dir):
     """All rules on a stream that ends: a closing frame releases the last ones."""
     frames = shield_stream(_telemetry_stream(spark, sf_dir, closed=True), AS_OF, SAMPLE_SHIELD)
     return _drain(spark, frames)
+
+
+@query
+def stream_late_frames(spark, sf_dir):
+    """Frames held back until the watermark had passed them, found by comparing sent and released."""
+    stream = _telemetry_stream(spark, sf_dir, closed=True, held_back=HELD_BACK)
+    released = _drain(spark, shield_stream(stream, AS_OF, SAMPLE_SHIELD))
+    late = late_frames(V.telemetry(spark, sf_dir), released, AS_OF, SAMPLE_SHIELD)
+    return late.select(UNIT, CYCLE, TS, *READINGS, FR.REJECT)
+
+
+@query
+def stream_rejects(spark, sf_dir):
+    """What a stream could not decode, written beside the lake from the same pass."""
+    path, rejects = scratch_path(spark, "wire"), scratch_path(spark, "rejects")
+    V.run_view(spark, V.WIRE, sf_dir, "events", heavy=True).write.text(path)
+    start_lake_ingest(
+        spark, FR.FileSource(path), scratch_path(spark, "lake"), scratch_path(spark, "checkpoint"),
+        as_of=AS_OF, once=True, rejects=rejects,
+    ).awaitTermination()
+    return spark.read.parquet(rejects).select("value", FR.REJECT)

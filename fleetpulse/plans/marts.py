@@ -4,19 +4,17 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetpulse.functions.times import date_literal
 from fleetpulse.operators.split_runs import (
     HOUR, MILLI, MINUTE, SECOND, Runs, over_runs, plan_cuts,
 )
-from fleetpulse.schema import CYCLE, FLAG, REASON, TS, UNIT
+from fleetpulse.schema import AVERAGE, CYCLE, EVENT_TS, FLAG, REASON, TS, UNIT
 from fleetpulse.settings import MartSettings
 
 DEFAULTS = MartSettings()
-EVENT_TS = "event_timestamp"
-AVERAGE = "t50_moving_avg_10"
 
 # Many ticks share a cycle, so event time settles their order.
 HEALTH_RUNS = Runs(
@@ -70,6 +68,36 @@ def health_mart(
     )
 
 
+def health_mart_days(
+    stg: DataFrame, start: date | str, end: date | str, settings: MartSettings = DEFAULTS
+) -> DataFrame:
+    """The mart's rows from one event date to another, both included, as the whole mart has them.
+
+    A unit's rows are read from its first to its last one in the range, in the mart's order, with
+    the few before, which come from a top-n per unit that each task cuts down before the shuffle.
+    """
+    first, last = date_literal(start), date_literal(end)
+    inside = F.to_date(EVENT_TS).between(first, last)
+    place = F.struct(CYCLE, EVENT_TS)
+    reach = (
+        stg.filter(inside).groupBy(UNIT)
+        .agg(F.min(place).alias("_low"), F.max(place).alias("_high"))
+        .withColumnRenamed(UNIT, "_unit")
+    )
+    near = stg.withColumn("_place", place).join(
+        reach, F.col(UNIT).eqNullSafe(F.col("_unit")) & (F.col("_place") <= F.col("_high"))
+    )
+    newest_first = Window.partitionBy(UNIT).orderBy(F.col("_place").desc())
+    before = (
+        near.filter(F.col("_place") < F.col("_low"))
+        .withColumn("_rank", F.row_number().over(newest_first))
+        .filter(F.col("_rank") < F.lit(settings.frame_rows))
+        .select(*stg.columns)
+    )
+    rows = near.filter(F.col("_place") >= F.col("_low")).select(*stg.columns).unionByName(before)
+    return health_mart(rows, settings).filter(F.col("event_date").between(first, last))
+
+
 def health_per_cycle(
     stg: DataFrame, settings: MartSettings = DEFAULTS, sized_by: DataFrame | None = None
 ) -> DataFrame:

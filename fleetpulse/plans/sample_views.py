@@ -117,6 +117,16 @@ def _line_sql() -> str:
 
 LINES = _line_sql()
 
+# The same lines with the file they go to; the number of files grows with the orders.
+FILED_LINES = LINES.replace(
+    " AS line FROM", " AS line, CAST(FLOOR(l_orderkey / 20000) AS INT) AS batch FROM"
+)
+
+# A life vector in words: one line per supplier.
+LIVES = """
+SELECT s_suppkey, concat('  ', CAST(s_suppkey * 3 % 126 + 6 AS STRING), ' ') AS line FROM supplier
+"""
+
 # Status reports: a first wave, a later one that overrides part of it, and an unknown flight.
 REPORTS = """
 SELECT CAST(o_custkey % 100 + 1 AS INT) AS unit_number, o_orderkey AS time_cycles,
@@ -195,6 +205,10 @@ def write_slices(frames: DataFrame, as_json: bool = False) -> tuple[str, int]:
     bounds = frames.agg(
         F.count(F.lit(1)).alias("rows"), F.min(second).alias("low"), F.max(second).alias("high")
     ).first()
+    if bounds.low is None:
+        encoded = encode_frames(frames, F.col(TS)) if as_json else frames
+        (encoded.write.text if as_json else encoded.write.parquet)(path)
+        return path, 1
     count = max(4, math.ceil(bounds.rows / SLICE_ROWS))
     step = (bounds.high - bounds.low) // count + 1
     files = max(1, min(bounds.rows // (count * 8), spark.sparkContext.defaultParallelism))

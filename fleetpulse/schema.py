@@ -19,6 +19,10 @@ CYCLE = "time_cycles"
 TS = "timestamp"
 FRAME_KEY = (UNIT, CYCLE, TS)
 
+# Names the warehouse models add.
+EVENT_TS = "event_timestamp"
+AVERAGE = "t50_moving_avg_10"
+
 # Ledger states.
 PENDING = "PENDING"
 IN_FLIGHT = "IN_FLIGHT"
@@ -91,6 +95,22 @@ def lake_schema() -> T.StructType:
     )
 
 
+def mart_schema() -> T.StructType:
+    """The stored health mart; reasons are joined text, the partition key comes last."""
+    readings = ("T2", "T50", "P30", "Nf", "Nc", "phi", "htBleed", "egt_margin")
+    return T.StructType(
+        _ids()
+        + [T.StructField(EVENT_TS, T.TimestampType())]
+        + [T.StructField(name, T.DoubleType()) for name in readings]
+        + [
+            T.StructField(FLAG, T.BooleanType()),
+            T.StructField(REASON, T.StringType()),
+            T.StructField(AVERAGE, T.DoubleType()),
+            T.StructField("event_date", T.DateType()),
+        ]
+    )
+
+
 def ledger_schema() -> T.StructType:
     """The flight ledger: 3 bookkeeping columns, then the blueprint."""
     return T.StructType(

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+
 # Set on any session that runs our plans; each is a runtime setting.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -19,6 +21,8 @@ RUNTIME_CONF = {
     # The JVM never compiles a method above 8000 bytes. Wide frames reach that; such a stage is
     # ten times faster as separate operators, whose code Spark splits into small methods.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Map state and timers of the stream rules need it.
+    STATE_STORE: ROCKSDB_PROVIDER,
 }
 
 

@@ -19,12 +19,14 @@ REJECT = "reject_reason"
 class TopicSource:
     """A Kafka topic, read from the earliest offset. Needs the Kafka connector on the session.
 
-    ``per_trigger`` bounds a micro-batch, so a replay of the whole topic stays in memory.
+    ``per_trigger`` bounds a micro-batch, so a replay of the whole topic stays in memory. Lost
+    offsets fail the stream; with ``fail_on_data_loss`` off it goes on without them.
     """
 
     servers: str
     topic: str
     per_trigger: int = 5_000_000
+    fail_on_data_loss: bool = True
 
     def _options(self) -> dict[str, str]:
         return {
@@ -40,7 +42,7 @@ class TopicSource:
     def stream(self, spark: SparkSession) -> DataFrame:
         options = {
             **self._options(),
-            "failOnDataLoss": "false",
+            "failOnDataLoss": str(self.fail_on_data_loss).lower(),
             "maxOffsetsPerTrigger": str(self.per_trigger),
         }
         return spark.readStream.format("kafka").options(**options).load()

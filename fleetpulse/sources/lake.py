@@ -14,8 +14,10 @@ from pyspark.sql import types as T
 from fleetpulse.functions.checks import reasons_as_text
 from fleetpulse.functions.times import AsOf, as_of_column, date_literal
 from fleetpulse.schema import (
-    CYCLE, FLAG, REASON, REASON_TYPE, TS, UNIT, edge_partitions, edge_schema, lake_schema,
+    CYCLE, EVENT_TS, FLAG, REASON, REASON_TYPE, TS, UNIT, edge_partitions, edge_schema,
+    lake_schema, mart_schema,
 )
+from fleetpulse.session import cut_lineage
 
 LAKE_KEYS = ("processing_date", UNIT)
 EDGE_KEYS = ("run_id", "unit", "date")
@@ -186,16 +188,44 @@ def write_mart(mart: DataFrame, path: str) -> None:
 
     One folder per event date, rows sorted by unit so that page statistics prune by unit.
     """
-    rows = rebalanced(mart, "event_date").sortWithinPartitions(
-        "event_date", UNIT, CYCLE, "event_timestamp"
+    _mart_rows(mart).write.mode("overwrite").option(
+        "partitionOverwriteMode", "static"
+    ).partitionBy("event_date").parquet(path)
+
+
+def write_mart_days(
+    spark: SparkSession, mart: DataFrame, path: str, start: date | str, end: date | str
+) -> None:
+    """Replace the days from ``start`` to ``end``, both included, by those of ``mart``.
+
+    ``mart`` is what ``health_mart_days`` gives for the range. Days that came out empty lose
+    their rows. Later days keep the averages they have, so a range normally ends with the newest
+    day. The driver lists the days of the range, not their rows.
+    """
+    chosen = F.col("event_date").between(date_literal(start), date_literal(end))
+    fresh = cut_lineage(_mart_rows(mart.filter(chosen)))
+    days = lambda df: {r.event_date for r in df.select("event_date").distinct().collect()}
+    gone = days(read_mart(spark, path).filter(chosen)) - days(fresh)
+    _replace(fresh, path, ("event_date",))
+    empty = fresh.drop("event_date").limit(0)
+    for day in sorted(gone):
+        empty.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
+            f"{path.rstrip('/')}/event_date={day}"
+        )
+
+
+def _mart_rows(mart: DataFrame) -> DataFrame:
+    """The declared columns in reading order, reasons as text."""
+    if isinstance(mart.schema[REASON].dataType, T.ArrayType):
+        mart = mart.withColumn(REASON, reasons_as_text())
+    declared = [F.col(f.name).cast(f.dataType).alias(f.name) for f in mart_schema().fields]
+    return rebalanced(mart.select(*declared), "event_date").sortWithinPartitions(
+        "event_date", UNIT, CYCLE, EVENT_TS
     )
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-        "event_date"
-    ).parquet(path)
 
 
 def read_mart(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("basePath", path).parquet(path)
+    return spark.read.schema(mart_schema()).option("basePath", path).parquet(path)
 
 
 def save_mart(mart: DataFrame, table: str) -> None:
@@ -204,9 +234,11 @@ def save_mart(mart: DataFrame, table: str) -> None:
     rows.write.mode("overwrite").partitionBy("event_date").format("parquet").saveAsTable(table)
 
 
-def rebuild_table(df: DataFrame, table: str) -> None:
-    """Drop, create and load in one step; running it again gives the same table."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(table)
+def rebuild_table(df: DataFrame, table: str, path: str | None = None) -> None:
+    """Drop, create and load in one step; running it again gives the same table. With ``path``
+    the table's files lie there and stay when the table is dropped."""
+    writer = df.write.mode("overwrite").format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
 def write_topic(encoded: DataFrame, servers: str, topic: str) -> None:

@@ -11,33 +11,36 @@ from fleetpulse.schema import CYCLE, SENSORS, UNIT, blueprint_schema
 from fleetpulse.session import cut_lineage
 
 REJECT = "reject_reason"
+_SOME_TEXT = r"\S"
 
 
 def read_lines(spark: SparkSession, path: str | list[str], numbered: bool = False) -> DataFrame:
     """Lines that are not blank, as ``line``; with ``numbered`` also ``file`` and the 1-based
     ``line_number`` in it (blank lines count)."""
-    raw = spark.read.text(path)
+    raw = spark.read.text(path).withColumnRenamed("value", "line")
     if numbered:
-        raw = _number(raw)
-    filled = F.col("line").rlike(r"\S")
-    return raw.withColumnRenamed("value", "line").filter(filled)
+        raw = _number(_placed(raw), "line")
+    return raw.filter(F.col("line").rlike(_SOME_TEXT))
 
 
-def _number(raw: DataFrame) -> DataFrame:
-    """Number lines without a global sort.
+def _placed(raw: DataFrame) -> DataFrame:
+    """Lines with their file, the piece of it that a task reads, and an id that rises along it."""
+    return raw.select(
+        "line",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("_piece"),
+        F.monotonically_increasing_id().alias("_id"),
+    )
+
+
+def _number(placed: DataFrame, wanted: str) -> DataFrame:
+    """Number placed lines without a global sort; those stay in which ``wanted`` is known.
 
     A scan task reads a piece of a file in order, so ids rise along a piece. The tagged lines
     are written once, which fixes the pieces; then a line's number is its place in its piece
     plus the lines in the pieces before. Only one row per piece is moved.
     """
-    tagged = cut_lineage(
-        raw.select(
-            "value",
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("_piece"),
-            F.monotonically_increasing_id().alias("_id"),
-        )
-    )
+    tagged = cut_lineage(placed)
     before = Window.partitionBy("file").orderBy("_piece").rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -47,9 +50,23 @@ def _number(raw: DataFrame) -> DataFrame:
         .withColumn("_before", F.coalesce(F.sum("_lines").over(before), F.lit(0)))
         .drop("_lines")
     )
-    return join_checked(tagged, pieces, ["file", "_piece"], "inner").select(
-        "value", "file", (F.col("_id") - F.col("_first") + F.col("_before") + 1).alias("line_number")
+    kept = tagged.filter(F.col(wanted).isNotNull())
+    others = [c for c in tagged.columns if c not in ("file", "_piece", "_id")]
+    return join_checked(kept, pieces, ["file", "_piece"], "inner").select(
+        *others, "file", (F.col("_id") - F.col("_first") + F.col("_before") + 1).alias("line_number")
+    )
+
+
+def numbered_rejects(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Rejected lines with file, line number and reason. Of an accepted line only its place is
+    written down, not its text."""
+    parsed = parse_lines(_placed(spark.read.text(path).withColumnRenamed("value", "line")))
+    bad = F.col(REJECT).isNotNull() & F.col("line").rlike(_SOME_TEXT)
+    slim = parsed.select(
+        "file", "_piece", "_id",
+        F.when(bad, F.col("line")).alias("line"), F.when(bad, F.col(REJECT)).alias(REJECT),
     )
+    return _number(slim, REJECT).select("file", "line_number", "line", REJECT)
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
@@ -95,10 +112,10 @@ def read_blueprint(
 
     Accepted rows come straight from the scan; only what names a line needs line numbers.
     """
-    numbered = parse_lines(read_lines(spark, path, numbered=True))
+    rejects = numbered_rejects(spark, path)
     if strict:
-        return strict_lines(numbered), rejected_lines(numbered)
-    return accepted_lines(parse_lines(read_lines(spark, path))), rejected_lines(numbered)
+        return strict_lines(parse_lines(read_lines(spark, path, numbered=True))), rejects
+    return accepted_lines(parse_lines(read_lines(spark, path))), rejects
 
 
 def read_life_vector(spark: SparkSession, path: str) -> DataFrame:

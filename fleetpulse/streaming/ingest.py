@@ -13,7 +13,7 @@ from fleetpulse.sources.frames import (
     FileSource, TopicSource, accepted_frames, decode_frames, read_frames_stream,
     rejected_frames, with_ingest_columns,
 )
-from fleetpulse.sources.lake import lake_rows, write_lake
+from fleetpulse.sources.lake import write_lake
 from fleetpulse.streaming.shield import shield_stream
 
 # Fixed value: how often a micro-batch starts.
@@ -48,22 +48,34 @@ def start_lake_ingest(
     shield: ShieldSettings | None = None,
     as_of: AsOf = None,
     once: bool = False,
+    rejects: str | None = None,
 ) -> StreamingQuery:
     """Decode frames and add them to the lake, through the quality rules if asked for.
 
     Each micro-batch is a load named by the checkpoint and its number, so a batch that is tried
     again replaces itself. ``compact_lake`` merges them later, beside the running stream.
+
+    ``rejects`` names a folder for what could not be decoded, read and decoded together with the
+    rest. Behind the quality rules rejects are gone, so there use ``start_quarantine``.
     """
-    frames = accepted_frames(decode_frames(read_frames_stream(spark, source)))
+    frames = decode_frames(read_frames_stream(spark, source))
     if shield is not None:
-        frames = shield_stream(frames, as_of, shield)
-    rows = lake_rows(with_ingest_columns(frames, as_of))
+        if rejects is not None:
+            raise ValueError("with quality rules, rejects need a stream of their own")
+        frames = shield_stream(accepted_frames(frames), as_of, shield)
     name = "stream-" + hashlib.md5(checkpoint.encode()).hexdigest()[:12]
 
     def land(batch: DataFrame, number: int) -> None:
-        write_lake(batch, path, f"{name}-{number}")
+        load = f"{name}-{number}"
+        if rejects is not None:
+            batch = batch.persist()
+        good = batch if shield is not None else accepted_frames(batch)
+        write_lake(with_ingest_columns(good, as_of), path, load)
+        if rejects is not None:
+            rejected_frames(batch).write.mode("overwrite").parquet(f"{rejects}/load_id={load}")
+            batch.unpersist()
 
-    writer = rows.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+    writer = frames.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=TRIGGER)
     return writer.start()
 

@@ -21,8 +21,20 @@ COUNTER_FELL, FROZEN, DRIFTED = "counter_fell", "frozen", "drifted"
 READ = CYCLE, PRESSURE, SPEED, FUEL, EXHAUST = "time_cycles", "P30", "Nc", "phi", "T50"
 
 
+# Above this many rows, frames that arrive together wait in an entry for each hour.
+ENTRY_ROWS = 2_000
+SPAN_MICROS = 3_600_000_000
+JUDGED_ROWS = 20_000
+
+
 class RunRules(StatefulProcessor):
-    """Judge a unit's frames in event-time order, across micro-batches."""
+    """Judge a unit's frames in event-time order, across micro-batches.
+
+    Waiting frames lie in a map by their earliest time and their arrival, so a new frame rewrites
+    nothing. Entries that the watermark has reached are read hour by hour and judged as far as
+    no later entry can hold an earlier frame, with the last few frames carried along. A task
+    never holds more of a unit than an hour, a batch of arriving rows, and small entries.
+    """
 
     def __init__(
         self, columns: list[str], places: dict[str, int], rules: list[str], horizon: int
@@ -34,40 +46,70 @@ class RunRules(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        # Frames that were judged last, and frames that still wait.
-        self.state = handle.getValueState("frames", "judged binary, waiting binary")
+        self.judged = handle.getValueState("judged", "frames binary")
+        self.arrivals = handle.getValueState("arrivals", "count long")
+        self.waiting = handle.getMapState("waiting", "first long, arrival long", "frames binary")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        arrived = [chunk[self.columns] for chunk in rows]
-        yield from self._advance(key, arrived, timerValues)
+        stored = self.arrivals.get()
+        arrival = stored[0] if stored else 0
+        for chunk in rows:
+            arrival += 1
+            self._put(chunk[self.columns], arrival)
+        yield from self._release(timerValues, arrival)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._advance(key, [], timerValues)
+        yield from self._release(timerValues, self.arrivals.get()[0])
 
     def close(self) -> None:
         pass
 
-    def _advance(self, key, arrived: list[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        judged, waiting = self._load()
-        frames = [f for f in (waiting, *arrived) if len(f)]
-        if not frames:
-            return
-        pending = pd.concat(frames, ignore_index=True) if len(frames) > 1 else frames[0]
+    def _put(self, frames: pd.DataFrame, arrival: int) -> None:
+        micros = frames[MICROS].to_numpy()
+        if len(frames) <= ENTRY_ROWS:
+            parts = [frames]
+        else:
+            parts = [part for _, part in frames.groupby(micros // SPAN_MICROS)]
+        for part in parts:
+            self.waiting.updateValue((int(part[MICROS].min()), arrival), (_to_bytes(part),))
+
+    def _release(self, timer_values, arrival: int) -> Iterator[pd.DataFrame]:
+        """Judge what the watermark has passed, and ask to be called for what still waits."""
         watermark = timer_values.getCurrentWatermarkInMs() * 1000
-        due = pending[MICROS].to_numpy() <= watermark
-        ready, later = pending[due], pending[~due].reset_index(drop=True)
-        if len(ready):
-            ready = ready.sort_values(
+        entries = sorted(tuple(place) for place in self.waiting.keys())
+        due = [place for place in entries if place[0] <= watermark]
+        upcoming = [place[0] for place in entries[len(due) : len(due) + 1]]
+        stored = self.judged.get() if due else None
+        judged = _from_bytes(stored[0]) if stored else pd.DataFrame()
+        held: list[pd.DataFrame] = []
+        for n, place in enumerate(due):
+            held.append(_from_bytes(self.waiting.getValue(place)[0]))
+            self.waiting.removeKey(place)
+            following = due[n + 1][0] if n + 1 < len(due) else None
+            if following is not None and following // SPAN_MICROS == place[0] // SPAN_MICROS:
+                continue
+            frames = pd.concat(held, ignore_index=True) if len(held) > 1 else held[0]
+            micros = frames[MICROS].to_numpy()
+            safe = micros <= watermark if following is None else micros < following
+            held = [frames[~safe]] if not safe.all() else []
+            ready = frames[safe].sort_values(
                 [MICROS, f"value{self.places[CYCLE]}"], na_position="first", kind="stable"
             )
-            run = pd.concat([judged, ready], ignore_index=True) if len(judged) else ready
-            run = run.reset_index(drop=True)
-            fresh = self._judge(run).iloc[len(judged):]
-            judged = run[self.columns].tail(self.horizon - 1).reset_index(drop=True)
-            yield fresh
-        self._store(judged, later)
-        if len(later):
-            self.handle.registerTimer(int(later[MICROS].min()) // 1000 + 1)
+            for start in range(0, len(ready), JUDGED_ROWS):
+                part = ready.iloc[start : start + JUDGED_ROWS]
+                run = pd.concat([judged, part], ignore_index=True) if len(judged) else part
+                run = run.reset_index(drop=True)
+                yield self._judge(run).iloc[len(judged):]
+                judged = run[self.columns].tail(self.horizon - 1).reset_index(drop=True)
+        if due:
+            self.judged.update((_to_bytes(judged),))
+        for later in held:  # one at most
+            arrival += 1
+            self._put(later, arrival)
+            upcoming.append(int(later[MICROS].min()))
+        self.arrivals.update((arrival,))
+        if upcoming:
+            self.handle.registerTimer(min(upcoming) // 1000 + 1)
 
     def _judge(self, run: pd.DataFrame) -> pd.DataFrame:
         read = {name: _Reading(run, place) for name, place in self.places.items()}
@@ -86,15 +128,6 @@ class RunRules(StatefulProcessor):
             hits[f"hit{n}"] = hit
         return run[self.columns].assign(**hits)
 
-    def _load(self) -> tuple[pd.DataFrame, pd.DataFrame]:
-        stored = self.state.get()
-        if stored is None:
-            return pd.DataFrame(), pd.DataFrame()
-        return _from_bytes(stored[0]), _from_bytes(stored[1])
-
-    def _store(self, judged: pd.DataFrame, waiting: pd.DataFrame) -> None:
-        self.state.update((_to_bytes(judged), _to_bytes(waiting)))
-
 
 class _Reading:
     """A column with its NULLs, compared as Spark compares: NULL is never a hit, NaN equals

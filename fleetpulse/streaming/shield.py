@@ -5,8 +5,9 @@ rules need each unit's frames in event-time order, so they run in a stateful ope
 unit: frames wait until the watermark has passed them, are then judged in order against the
 last few frames before them, and leave. The answer is that of the batch rules.
 
-What a task holds for a unit is what arrived within the watermark delay and one micro-batch;
-sources bound the size of a micro-batch.
+Waiting frames lie in a state map; a task holds about an hour of a unit at a time. Frames
+that arrive behind the watermark leave a stream without a trace, so ``late_frames`` finds them
+by comparing what was sent with what was released.
 """
 
 from __future__ import annotations
@@ -18,14 +19,18 @@ from pyspark.sql import types as T
 
 from fleetpulse.functions import checks as C
 from fleetpulse.functions.times import AsOf, as_of_column
+from fleetpulse.operators.pick import drop_duplicate_frames
 from fleetpulse.operators.shield import assemble, drop_stale, with_row_hits
 from fleetpulse.schema import FRAME_KEY, TS, UNIT
-from fleetpulse.session import ROCKSDB_PROVIDER
+from fleetpulse.session import ROCKSDB_PROVIDER, STATE_STORE
 from fleetpulse.settings import ShieldSettings
+from fleetpulse.sources.frames import REJECT
 from fleetpulse.streaming import run_rules as R
 
 cloudpickle.register_pickle_by_value(R)
 
+LATE = "behind the watermark"
+
 
 def drop_duplicates_stream(
     frames: DataFrame, settings: ShieldSettings = ShieldSettings()
@@ -50,7 +55,8 @@ def shield_stream(
     frames: DataFrame, as_of: AsOf = None, settings: ShieldSettings = ShieldSettings()
 ) -> DataFrame:
     """All rules, in the order of the batch pipeline. Input has no quality columns yet."""
-    frames.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    if frames.sparkSession.conf.get(STATE_STORE, None) != ROCKSDB_PROVIDER:
+        raise RuntimeError(f"{STATE_STORE} must be {ROCKSDB_PROVIDER}, as build_session sets it")
     reference = as_of_column(as_of)
     fresh = drop_stale(drop_duplicates_stream(frames, settings), reference, settings)
     packed, payload = _pack(with_row_hits(fresh, reference, settings))
@@ -80,6 +86,26 @@ def shield_stream(
     return flagged.select(*frames.columns, C.FLAG, C.REASON)
 
 
+def late_frames(
+    frames: DataFrame, released: DataFrame, as_of: AsOf = None,
+    settings: ShieldSettings = ShieldSettings(),
+) -> DataFrame:
+    """Frames that came to a stream too late, with a reason; a batch job over stored tables.
+
+    ``frames`` are those that were sent, ``released`` is the output of ``shield_stream``. A late
+    frame is young enough, is not among the released ones, and is older than the newest of them;
+    what is newer may still wait. One anti-join on the frame's key; the driver reads one time.
+    """
+    newest = released.agg(F.max(TS).alias("newest")).first().newest
+    sent = drop_stale(drop_duplicate_frames(frames), as_of_column(as_of), settings)
+    passed = sent.filter(F.col(TS) <= F.lit(newest)).alias("sent")
+    known = released.select(*FRAME_KEY).alias("released")
+    same = F.lit(True)
+    for name in FRAME_KEY:
+        same = same & F.col(f"sent.{name}").eqNullSafe(F.col(f"released.{name}"))
+    return passed.join(known, same, "left_anti").withColumn(REJECT, F.lit(LATE))
+
+
 # --- packing ----------------------------------------------------------------------------
 #
 # Pandas cannot tell NULL from NaN in a double column, but the rules do. Every payload column

@@ -78,6 +78,37 @@ def test_mart_is_replaced_as_a_whole(spark, tmp_path):
     assert K.read_mart(spark, path).count() == 1
 
 
+def test_days_of_a_mart_are_replaced_and_emptied(spark, tmp_path):
+    path, clean = str(tmp_path / "mart"), FR.with_ingest_columns
+    rows = [
+        frame(unit=1 + n % 2, cycle=n // 2, second=86_400 * (n // 15) + n, T50=1400.0 + n * 7 % 31)
+        for n in range(90)
+    ]
+    K.write_mart(M.health_mart(M.staging(clean(spark.createDataFrame(rows, COLUMNS), START))), path)
+    newer = [r for n, r in enumerate(rows) if n // 15 != 3 and n % 8]
+    stg = M.staging(clean(spark.createDataFrame(newer, COLUMNS), START))
+    days = "2024-01-03", "2024-01-05"
+    for _ in range(2):
+        K.write_mart_days(spark, M.health_mart_days(stg, *days), path, *days)
+    mark = lambda r: (r.unit_number, r.event_timestamp, r.t50_moving_avg_10)
+    inside = F.col("event_date").between(*[F.lit(d).cast("date") for d in days])
+    got = sorted(map(mark, K.read_mart(spark, path).filter(inside).collect()))
+    assert got == sorted(map(mark, M.health_mart(stg).filter(inside).collect())) and got
+    assert not K.read_mart(spark, path).filter("event_date = DATE'2024-01-04'").count()
+    assert K.read_mart(spark, path).filter(~inside).count() == 45
+
+
+def test_stored_trend_prunes_days_and_units(spark, tmp_path):
+    path = str(tmp_path / "mart")
+    raw = FR.with_ingest_columns(frames(spark, range(3)), START)
+    K.write_mart(M.health_mart(M.staging(raw)), path)
+    trend = M.engine_trend(K.read_mart(spark, path), 1, "2024-01-01", "2024-01-02")
+    text = trend._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in text
+    assert "EqualTo(unit_number,1)" in text
+    assert "event_date" not in text.split("ReadSchema: ")[1].split("\n")[0]
+
+
 def test_seed_gives_readers_a_schema(spark, tmp_path):
     path = str(tmp_path / "lake")
     K.seed_lake(spark, path, "2024-01-01 00:00:00")

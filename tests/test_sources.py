@@ -138,3 +138,13 @@ def test_from_json_is_parsed_once(spark):
     raw = spark.createDataFrame([("{}",)], "value string")
     plan = FR.accepted_frames(FR.decode_frames(raw))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json(") == 1
+
+
+def test_rejects_are_numbered_without_their_neighbours(spark, tmp_path):
+    path = write_lines(tmp_path, GOOD, "", "oops", GOOD, "1 2", name="c.txt")
+    rows, rejects = TX.read_blueprint(spark, path)
+    assert [(r.line_number, r.line) for r in rejects.orderBy("line_number").collect()] == [
+        (3, "oops"), (5, "1 2")
+    ]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "ExistingRDD" not in plan and rows.count() == 2

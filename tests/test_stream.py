@@ -4,6 +4,7 @@ import sys
 import time
 from datetime import timedelta
 
+import pytest
 from helpers import (
     COLUMNS, START, as_results, frame, plain_results, random_frames, shield_by_hand,
     unique_by_key,
@@ -11,6 +12,8 @@ from helpers import (
 from pyspark.sql import functions as F
 
 from fleetpulse.operators.ticks import encode_frames
+from fleetpulse.plans import sample_views as V
+from fleetpulse.session import STATE_STORE
 from fleetpulse.settings import ShieldSettings
 from fleetpulse.sources import frames as FR
 from fleetpulse.sources import lake as K
@@ -151,3 +154,128 @@ def test_workers_need_no_package_for_the_stateful_operator(tmp_path):
         [sys.executable, "-I", "-c", code], cwd=tmp_path, capture_output=True, text=True
     )
     assert ran.stdout.strip() == "5", ran.stderr
+
+
+class Handle:
+    """State of one key, kept in plain Python."""
+
+    def __init__(self):
+        self.timers = []
+
+    def getValueState(self, name, schema):
+        return Value()
+
+    def getMapState(self, name, key_schema, value_schema):
+        return Map()
+
+    def registerTimer(self, millis):
+        self.timers.append(millis)
+
+
+class Value:
+    stored = None
+
+    def get(self):
+        return self.stored
+
+    def update(self, value):
+        self.stored = value
+
+
+class Map(dict):
+    updateValue, getValue, removeKey = dict.__setitem__, dict.__getitem__, dict.__delitem__
+
+
+class Clock:
+    def __init__(self, seconds):
+        self.seconds = seconds
+
+    def getCurrentWatermarkInMs(self):
+        return int(self.seconds * 1000)
+
+
+def test_a_hot_unit_is_judged_in_bounded_pieces():
+    import numpy as np
+    import pandas as pd
+
+    from fleetpulse.streaming import run_rules as R
+
+    rng = np.random.default_rng(3)
+    count = 60_000
+    columns = [R.MICROS, R.NULLS, R.NANS, *[f"value{n}" for n in range(5)]]
+    frames = pd.DataFrame({R.MICROS: np.arange(1, count + 1) * 1_000_000, R.NULLS: 0, R.NANS: 0})
+    for n in range(5):
+        frames[f"value{n}"] = rng.integers(0, 3, count).astype(float)
+    places = dict(zip(R.READ, range(5)))
+    rules = R.RunRules(columns, places, [R.COUNTER_FELL, R.FROZEN, R.DRIFTED], 5)
+    sizes = []
+
+    class Watched(R.RunRules):
+        def _judge(self, run):
+            sizes.append(len(run))
+            return super()._judge(run)
+
+    watched = Watched(columns, places, rules.rules, 5)
+    watched.init(Handle())
+    out, clock = [], Clock(0)
+    shuffled = frames.sample(frac=1, random_state=1)
+    # One large micro-batch in many chunks, a small one within the watermark, and the end.
+    chunks = [shuffled[n : n + 9_000] for n in range(0, count, 9_000)]
+    out += watched.handleInputRows(None, iter(chunks[:5]), clock)
+    out += watched.handleInputRows(None, iter(c[:1_500] for c in chunks[5:]), clock)
+    out += watched.handleInputRows(None, iter(c[1_500:] for c in chunks[5:]), clock)
+    assert not out
+    for clock in (Clock(7_000.5), Clock(7_200), Clock(30_000), Clock(70_000)):
+        out += watched.handleExpiredTimer(None, clock, None)
+    pd.testing.assert_frame_equal(
+        pd.concat(out, ignore_index=True), rules._judge(frames).reset_index(drop=True)
+    )
+    assert max(sizes) <= 3_600 * 2 + 4
+    assert not watched.waiting
+
+
+def test_frames_behind_the_watermark_are_found(spark, tmp_path):
+    source = Folder(spark, tmp_path / "in")
+    early = [frame(cycle=n, second=n) for n in range(0, 40, 10)]
+    late = [frame(cycle=90, second=5), frame(unit=2, cycle=91, second=7), frame(cycle=0, second=0)]
+    for rows in (early, [frame(cycle=50, second=500)], [frame(cycle=60, second=600)], late):
+        source.add(rows)
+    SS.closing_frame(source.stream().sparkSession.createDataFrame([], COLUMNS)).write.mode(
+        "append"
+    ).parquet(source.path)
+    released = drain(SS.shield_stream(source.stream(), START), tmp_path)
+    sent = spark.createDataFrame([*early, frame(cycle=50, second=500), frame(cycle=60, second=600), *late], COLUMNS)
+    found = SS.late_frames(sent, released, START).collect()
+    assert sorted((r.unit_number, r.time_cycles, r.reject_reason) for r in found) == [
+        (1, 90, SS.LATE), (2, 91, SS.LATE)
+    ]
+
+
+def test_one_pass_fills_the_lake_and_the_rejects(spark, tmp_path):
+    path, lake, bad = (str(tmp_path / n) for n in ("in", "lake", "bad"))
+    encode_frames(spark.createDataFrame([frame(second=n) for n in range(5)], COLUMNS), START).write.text(path)
+    spark.createDataFrame([("{bad",)], "value string").write.mode("append").text(path)
+    source = FR.FileSource(path)
+    args = (spark, source, lake, str(tmp_path / "c"))
+    I.start_lake_ingest(*args, as_of=START, once=True, rejects=bad).awaitTermination()
+    assert K.read_lake(spark, lake).count() == 5
+    assert [r.value for r in spark.read.parquet(bad).collect()] == ["{bad"]
+    with pytest.raises(ValueError):
+        I.start_lake_ingest(*args, shield=ShieldSettings(), rejects=bad)
+
+
+def test_stream_rules_ask_for_their_state_store(spark, tmp_path):
+    source = Folder(spark, tmp_path / "in")
+    source.add([frame()])
+    kept = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, "some.other.Provider")
+    try:
+        with pytest.raises(RuntimeError):
+            SS.shield_stream(source.stream(), START)
+    finally:
+        spark.conf.set(STATE_STORE, kept)
+
+
+def test_slices_of_an_empty_table(spark):
+    path, files = V.write_slices(spark.createDataFrame([], COLUMNS))
+    assert files == 1 and spark.read.schema(COLUMNS).parquet(path).count() == 0
