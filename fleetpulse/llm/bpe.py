@@ -17,6 +17,7 @@ import base64
 import hashlib
 from array import array
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,8 @@ from fleetpulse.llm.common import batch_of, text_of
 PIECES_KEPT = 400_000
 ROWS_AT_ONCE = 16_384
 SEGMENT_CHARS = 1 << 18
+SEGMENT_PIECES = 1 << 16
 _WIDTHS = (4, 8, 16, 32, 64)  # a tree has a guard position at either end
-_EDGE = regex.compile(r"\S\s")
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -75,15 +76,16 @@ class Encoder:
     def segments(self, text: str) -> Iterator[list[str]]:
         """The pattern's matches, for long texts in lists of bounded length.
 
-        A match never holds white space after other characters, so a text may be cut between
-        the two without changing any match.
+        The text is never cut, so this holds for any pattern.
         """
-        start = 0
-        while start < len(text):
-            edge = _EDGE.search(text, start + SEGMENT_CHARS) if len(text) - start > SEGMENT_CHARS else None
-            end = edge.start() + 1 if edge else len(text)
-            yield self.pattern.findall(text, start, end)
-            start = end
+        if len(text) <= SEGMENT_CHARS:
+            yield [m.group() for m in self.pattern.finditer(text)] if self.pattern.groups else (
+                self.pattern.findall(text)
+            )
+            return
+        matches = self.pattern.finditer(text)
+        while some := [m.group() for m in islice(matches, SEGMENT_PIECES)]:
+            yield some
 
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
         """The packed ids of each text."""
