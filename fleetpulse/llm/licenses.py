@@ -1,11 +1,12 @@
 """Licence scans by a positional index of rare template words.
 
 The corpus gives each licence word its document frequency. The index holds the positions, in
-every template, of the template's words of highest IDF. A file looks up those of its words
-that have the highest IDF in the index; each place of such a word and each posting of it give
-a place where the template would begin. Where enough different words agree on that place, up
-to a small shift for words put in between, the template is a candidate, and it is accepted if
-its mandatory phrases stand in the aligned part of the file.
+every template, of the template's words of highest IDF. A file looks up its words of highest
+IDF, which are those that the index holds: however many templates a file quotes, none of its
+rare words is passed over. Each place of such a word and each posting of it give a place where
+the template would begin. Where enough different words agree on that place, up to a small
+shift for words put in between, the template is a candidate, and it is accepted if its
+mandatory phrases stand in the aligned part of the file.
 """
 
 from __future__ import annotations
@@ -71,7 +72,6 @@ TEMPLATES = (
 )
 
 INDEX_WORDS = 4  # words of each template in the index, by falling IDF
-FILE_WORDS = 12  # distinct index words that a file looks up, by falling IDF
 SHIFT = 6  # words that may have been put in or left out
 
 
@@ -105,12 +105,10 @@ class Scanner:
         ]
         self.phrases = [(p.encode().split(), label) for p, label in phrases.items()]
         self.last_words = {p[-1] for p, _ in self.phrases}
-        self.idf: dict[bytes, float] = {}
         self.postings: dict[bytes, list[tuple[int, int]]] = {}
         for number, (_, words, _) in enumerate(self.templates):
             rare = sorted(set(words), key=lambda w: (-idf(w.decode()), w))[:INDEX_WORDS]
             for word in rare:
-                self.idf[word] = idf(word.decode())
                 for place, w in enumerate(words):
                     if w == word:
                         self.postings.setdefault(word, []).append((number, place))
@@ -158,15 +156,12 @@ class Scanner:
 
     def _templates(self, words: list[bytes]) -> Iterator[tuple[str, float]]:
         """Accepted templates and the share of their words in place."""
-        present = self.postings.keys() & set(words)
-        if not present:
+        if self.postings.keys().isdisjoint(words):
             return
-        chosen = set(sorted(present, key=lambda w: (-self.idf[w], w))[:FILE_WORDS])
         starts: dict[int, list[tuple[int, bytes]]] = {}
         for n, word in enumerate(words):
-            if word in chosen:
-                for number, place in self.postings[word]:
-                    starts.setdefault(number, []).append((n - place, word))
+            for number, place in self.postings.get(word, ()):
+                starts.setdefault(number, []).append((n - place, word))
         for number, votes in starts.items():
             label, notice, musts = self.templates[number]
             needed = min(2, self.indexed[number])
