@@ -135,10 +135,19 @@ def fit_grid(
     return grid
 
 
+def scaled_vectors(vectors: pa.Array) -> np.ndarray:
+    """The vectors of a list column, all of one length, as rows.
+
+    Each is brought near one by a power of two, which leaves cosines as they are and keeps the
+    squares of very large and very small numbers within range.
+    """
+    rows = np.asarray(vectors.flatten(), np.float64).reshape(len(vectors), -1)
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(1))[1][:, None]) if len(rows) else rows
+
+
 def unit_vectors(vectors: pa.Array) -> np.ndarray:
     """The vectors of a list column, all of one length, as rows of length one."""
-    flat = np.asarray(vectors.flatten(), np.float64)
-    rows = flat.reshape(len(vectors), -1)
+    rows = scaled_vectors(vectors)
     return rows / np.sqrt((rows**2).sum(1))[:, None]
 
 
@@ -221,8 +230,7 @@ def _block_links(threshold: float):
         sought = np.asarray(table["sought"].combine_chunks())[order]
         seeks = np.asarray(table["seeks"].combine_chunks())[order]
         copies = np.asarray(table["copies"].combine_chunks())[order]
-        vec = table["vec"].combine_chunks()
-        raw = np.asarray(vec.flatten(), np.float64).reshape(len(reps), -1)[order]
+        raw = scaled_vectors(table["vec"].combine_chunks())[order]
         length = np.sqrt((raw**2).sum(1))
         near = np.flatnonzero(sought)
         names = np.arange(len(reps))
