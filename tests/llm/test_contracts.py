@@ -11,9 +11,9 @@ import numpy as np
 import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
-import xxhash
 
 import __spark_entry__ as entry
+from tests.llm.by_hand import lines_kept, roots, simhash_by_hand, targets_by_hand
 
 FOLDER = os.environ.get("LLM_SF_DIR", "/root/testdata/sf0.001")
 
@@ -34,21 +34,6 @@ def by_id(rows, key="doc_id"):
     return found
 
 
-def roots(links, nodes):
-    parent = {n: n for n in nodes}
-
-    def find(n):
-        while parent[n] != n:
-            parent[n] = parent[parent[n]]
-            n = parent[n]
-        return n
-
-    for a, b in links:
-        a, b = find(a), find(b)
-        parent[max(a, b)] = min(a, b)
-    return {n: find(n) for n in nodes}
-
-
 def shingle_set(text, width=5):
     words = text.encode().lower().split()
     if len(words) < width:
@@ -96,13 +81,6 @@ def test_op2(spark, docs):
     assert right[1] / sum(right) > 0.85
 
 
-def simhash_by_hand(text):
-    words = text.encode().lower().split()
-    parts = [b" ".join(words[n : n + 3]) for n in range(max(1, len(words) - 2))] if words else []
-    hashes = [xxhash.xxh64_intdigest(p, 42) for p in parts]
-    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
-
-
 def test_op3(spark, docs):
     found = by_id(answer(spark, "op3_simhash"))
     prints = {i: simhash_by_hand(r["text"] or "") for i, r in docs.items()}
@@ -217,37 +195,13 @@ def test_op8(spark, docs):
 
 def test_op9(spark, docs):
     found = by_id(answer(spark, "op9_line_dedup"))
-    key = lambda line: "".join(
-        chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in line.strip(" \t\n\x0b\x0c\r"))
-    holders = defaultdict(set)
-    for i, r in docs.items():
-        for line in (r["text"] or "").split("\n"):
-            holders[key(line)].add(i)
-    for i, r in docs.items():
-        lines = (r["text"] or "").split("\n")
-        kept = [x for x in lines if not (len(key(x)) >= 20 and len(holders[key(x)]) >= 3 and max(holders[key(x)]) != i)]
-        assert found[i] == {"doc_id": i, "n_lines": len(lines), "n_dropped": len(lines) - len(kept),
+    texts = {i: r["text"] or "" for i, r in docs.items()}
+    for i, kept in lines_kept(texts).items():
+        n_lines = len(texts[i].split("\n"))
+        assert found[i] == {"doc_id": i, "n_lines": n_lines, "n_dropped": n_lines - len(kept),
                             "kept_sha256": hashlib.sha256("\n".join(kept).encode()).hexdigest()}
 
 
-def targets_by_hand(totals):
-    names = sorted((s for s in totals if s is not None), key=lambda s: s.encode()) + [None] * (None in totals)
-    weight = {s: (5, 2, 1)[n % 3] for n, s in enumerate(names)}
-    target = dict.fromkeys(names, 0.0)
-    rest, still = 1.5 * sum(totals.values()), list(names)
-    while still:
-        share = {s: rest * weight[s] / sum(weight[x] for x in still) for s in still}
-        above = [s for s in still if share[s] > 2 * totals[s]]
-        if not above:
-            target.update(share)
-            break
-        for s in above:
-            target[s] = 2.0 * totals[s]
-            rest -= target[s]
-            still.remove(s)
-    return target
-
-
 def test_op10(spark, docs):
     rows = answer(spark, "op10_mixing")
     found = by_id(rows)

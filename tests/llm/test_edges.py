@@ -196,3 +196,35 @@ def test_sharding_splits_a_group_larger_than_a_shard(spark):
     )
     found = shards.shard_documents(df).groupBy("shard").agg(F.count("*").alias("n"), F.max("slot").alias("last")).collect()
     assert len(found) == 24 and all(r.n == 50 and r.last == 49 for r in found)
+
+
+def test_a_file_that_quotes_every_template_has_every_label(spark):
+    text = "\n\n".join(notice + " ." + " filler" * 40 for _, notice, _ in licenses.TEMPLATES)
+    found = licenses.scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert found.labels == ",".join(sorted({label for label, _, _ in licenses.TEMPLATES}))
+
+
+def test_any_pattern_is_applied_to_long_texts_whole(monkeypatch):
+    import numpy as np
+    import tiktoken
+
+    pattern = r"[^\s\p{L}]+[\r\n]*|\p{L}+(?= )|\p{L}+|\s+"  # a match may end in line breaks
+    ranks = bpe.read_ranks(RANKS)
+    own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    monkeypatch.setattr(bpe, "SEGMENT_CHARS", 50)
+    monkeypatch.setattr(bpe, "SEGMENT_PIECES", 7)
+    encoder = bpe.Encoder(bpe.merge_tables(ranks), pattern)
+    rng = random.Random(8)
+    texts = ["".join(rng.choice(["a", "bc ", "!", "\n", "\r\n", " ", "12"]) for _ in range(n)) for n in range(200)]
+    for text, packed in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(packed, "<u4").tolist() == own.encode_ordinary(text)
+
+
+def test_very_large_and_very_small_vectors_have_their_cosines(spark):
+    base = [float(n % 5 - 2) for n in range(16)]
+    other = [float(n % 3) for n in range(16)]
+    table = [(n, [x * 10.0**k for x in base], 1) for n, k in enumerate((0, 200, -200, 307))]
+    table.append((9, [x * 1e250 for x in other], 1))
+    df = spark.createDataFrame(table, "vec_id long, embedding array<double>, label int")
+    found = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_duplicates(df).collect()}
+    assert found == {**{n: (3, 0) for n in range(4)}, 9: (0, 9)}
