@@ -18,7 +18,7 @@ Documents with equal fingerprints are one node, named by their smallest id, befo
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 from itertools import combinations
 
@@ -167,13 +167,18 @@ def near_duplicates(
     )
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents with one row of each component: that of the smallest id.
+def keep_one(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    find: Callable[[DataFrame, str, str], DataFrame] = near_duplicates,
+) -> DataFrame:
+    """The documents with one row of each component that ``find`` sees: that of the smallest id.
 
     Of several rows with that id, the one with the smallest text hash stays, and of identical
     rows one. Rows without an id stay unless a document with an id is like them.
     """
-    found = near_duplicates(docs, id_col, text_col)
+    found = find(docs, id_col, text_col)
     kept = (
         found.filter(F.col(id_col) == F.col("component_id"))
         .groupBy(F.col(id_col).alias("kept_id"))
