@@ -20,6 +20,7 @@ from collections.abc import Iterable, Iterator
 from itertools import islice
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -250,16 +251,14 @@ def encode_documents(
     text_col: str = "text",
     with_ids: bool = False,
 ) -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256), and with ``with_ids`` the ids themselves.
+    """(id, n_tokens), and with ``with_ids`` the ids themselves.
 
-    No special tokens; NULL texts are empty ones and have no tokens. The digests are of the ids
-    as little-endian unsigned 32-bit integers and of the bytes that they decode to. The rank
-    file is read by the driver; its tables, which follow the vocabulary alone, are broadcast.
+    No special tokens; NULL texts are empty ones and have no tokens. The rank file is read by
+    the driver; its tables, which follow the vocabulary alone, are broadcast.
     """
     shared = docs.sparkSession.sparkContext.broadcast(merge_tables(read_ranks(ranks_path)))
     fields = [("id", pa.int64()), ("n_tokens", pa.int64())]
-    fields += [("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
-    kind = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    kind = "id long, n_tokens long"
     if with_ids:
         fields.append(("ids", pa.list_(pa.int64())))
         kind += ", ids array<long>"
@@ -275,16 +274,39 @@ def encode_documents(
             texts = (value.as_py() for value in batch.column(1))
             for packed in encoder.encode(texts):
                 columns[0].append(len(packed) // 4)
-                columns[1].append(hashlib.sha256(packed).hexdigest())
-                columns[2].append(hashlib.sha256(encoder.decode(packed)).hexdigest())
                 if with_ids:
-                    columns[3].append(np.frombuffer(packed, "<u4").astype(np.int64))
+                    columns[1].append(np.frombuffer(packed, "<u4").astype(np.int64))
             yield batch_of(schema, [batch.column(0), *columns])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
     return rows.mapInArrow(kernel, kind).withColumnRenamed("id", id_col)
 
 
+def with_digests(rows: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:
+    """Adds ids_sha256 and decoded_sha256 of an array of ids.
+
+    They are of the ids as little-endian unsigned 32-bit integers and of the bytes that they
+    decode to. A NULL array gives NULL; an id outside the vocabulary fails the job.
+    """
+    tokens = {rank: token for token, rank in read_ranks(ranks_path).items()}
+    shared = rows.sparkSession.sparkContext.broadcast(tokens)
+
+    @F.pandas_udf("ids_sha256 string, decoded_sha256 string")
+    def digests(ids: pd.Series) -> pd.DataFrame:
+        known = shared.value
+        found: list[tuple] = []
+        for v in ids:
+            if v is None:
+                found.append((None, None))
+                continue
+            decoded = b"".join(map(known.__getitem__, v.tolist()))
+            packed = v.astype("<u4").tobytes()
+            found.append((hashlib.sha256(packed).hexdigest(), hashlib.sha256(decoded).hexdigest()))
+        return pd.DataFrame(found, columns=["ids_sha256", "decoded_sha256"])
+
+    return rows.withColumn("digests", digests(F.col(ids_col))).select("*", "digests.*").drop("digests")
+
+
 def decode_ids(rows: DataFrame, ranks_path: str, ids_col: str = "ids", out_col: str = "text") -> DataFrame:
     """Adds the text of an array of ids; bytes that are no UTF-8 become replacement characters.
 

@@ -53,11 +53,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.encode_documents(
-        read_table(spark, sf_dir, "documents"),
-        public_tokenizers.path(RANKS),
-        public_tokenizers.PATTERN,
-    )
+    ranks = public_tokenizers.path(RANKS)
+    docs = read_table(spark, sf_dir, "documents")
+    coded = bpe.encode_documents(docs, ranks, public_tokenizers.PATTERN, with_ids=True)
+    return bpe.with_digests(coded, ranks).drop("ids")
 
 
 @query
