@@ -11,14 +11,17 @@ from pyspark.sql import functions as F
 from fleetpulse.llm import (
     bpe,
     embeddings,
+    fill_middle,
     fingerprints,
     licenses,
     line_runs,
     mixing,
+    prefix_trie,
     quality,
     shards,
     simhash,
     token_counts,
+    toxicity,
 )
 from fleetpulse.llm.common import read_table
 
@@ -99,6 +102,29 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    )
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_middle.fill_in_middle(read_table(spark, sf_dir, "documents"))
+    text = fill_middle.restored(F.col("form"), F.col("output"))
+    return found.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(text.cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
@@ -125,3 +151,63 @@ ORACLES: dict[str, str] = {
         GROUP BY l.doc_id
     """,
 }
+
+# CRC-32 of a decimal number, a bit at a time; its last two bits say how many turns are shared.
+_CRC = """list_reduce(list_prepend(4294967295::BIGINT,
+          list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: ord(x)::BIGINT)),
+          lambda crc, x: list_reduce(list_prepend(xor(crc, x), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+            lambda v, y: xor(v >> 1, 3988292384 * (v & 1))))"""
+
+ORACLES["op12_prefix_trie"] = f"""
+    WITH turns AS (
+      SELECT conv_id, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS own,
+        xor({_CRC}, 4294967295) & 3 AS h
+      FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+    rebuilt AS (
+      SELECT c.conv_id, list_concat(coalesce(b.own[1:c.h], []), c.own[c.h + 1:]) AS path
+      FROM turns c LEFT JOIN turns b ON b.conv_id = c.conv_id - c.conv_id % 20),
+    prefixes AS (
+      SELECT conv_id, d AS depth, path[1:d] AS path, d = len(path) AS ends
+      FROM (SELECT conv_id, path, unnest(range(0, len(path) + 1)) AS d FROM rebuilt)),
+    nodes AS (
+      SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+        coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '') AS ids,
+        (count(*) - 1) * CASE WHEN depth = 0 THEN 0
+          ELSE len(regexp_extract_all(path[depth].t, '[^\\x20\\x09-\\x0D]+')) END AS saved
+      FROM prefixes GROUP BY path, depth),
+    children AS (
+      SELECT path[1:depth - 1] AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+    full_nodes AS (
+      SELECT n.*, coalesce(c.n, 0) AS n_children FROM nodes n LEFT JOIN children c ON c.path = n.path),
+    totals AS (
+      SELECT path[1:d] AS path, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+      FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM full_nodes) GROUP BY ALL)
+    SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, t.n_leaves,
+      CAST(t.saved_tokens AS BIGINT) AS saved_tokens, sha256(n.ids) AS ends_sha256
+    FROM full_nodes n JOIN totals t ON t.path = n.path
+    LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.path[1:n.depth - 1]
+"""
+
+ORACLES["op13_fill_in_middle"] = """
+    WITH cut AS (
+      SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || doc_id) AS digest,
+        regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS units FROM documents),
+    drawn AS (
+      SELECT doc_id, text, units, len(units) AS n,
+        CAST('0x' || digest[1:8] AS BIGINT) % (len(units) + 1) AS one,
+        CAST('0x' || digest[9:16] AS BIGINT) % (len(units) + 1) AS two,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+            OR CAST('0x' || digest[17:24] AS BIGINT) % 100 >= 100 THEN 'plain'
+          WHEN CAST('0x' || digest[25:32] AS BIGINT) % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM cut),
+    parts AS (
+      SELECT doc_id, text, n, form, array_to_string(units[1:least(one, two)], '') AS prefix,
+        array_to_string(units[least(one, two) + 1:greatest(one, two)], '') AS middle,
+        array_to_string(units[greatest(one, two) + 1:], '') AS suffix FROM drawn)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+      CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+      sha256(CASE form WHEN 'plain' THEN text
+        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+      sha256(text) AS restored_sha256
+    FROM parts
+"""
