@@ -27,7 +27,7 @@ from fleetpulse.operators.split_runs import Runs
 from fleetpulse.session import cut_lineage
 
 HEIGHT = 16
-STRIDE = 20  # a conversation's base is the one at the last multiple of this
+STRIDE = 20  # a conversation's base is its id less the remainder by this, as in SQL
 SHARED = 4  # it takes fewer turns than this from it
 PIECE = 1024  # turns whose hashes are combined in one window
 MAX_RUN_ROWS = 100_000
