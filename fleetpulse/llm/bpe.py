@@ -8,28 +8,31 @@ renews their paths to the root.
 
 Pieces of common length are merged side by side: row ``k`` of the arrays is the tree of piece
 ``k``, and one step merges the best pair of every unfinished row. Long pieces have a tree of
-their own. Encoded pieces are remembered up to a bound.
+their own. Encoded pieces are remembered in two generations up to a bound of bytes.
+
+One pass in Python does all: ids leave it as arrays, packed or decoded again, in batches of
+bounded bytes. A worker holds the vocabulary, the remembered pieces and one batch.
 """
 
 from __future__ import annotations
 
 import base64
-import hashlib
 from array import array
 from collections.abc import Iterable, Iterator
 from itertools import islice
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetpulse.llm.common import batch_of, text_of
 
-PIECES_KEPT = 400_000
-ROWS_AT_ONCE = 16_384
+KEPT_BYTES = 12 << 20  # about what a generation of remembered pieces takes
+PIECE_BYTES = 220  # of which a piece takes so many beside its own
+BATCH_BYTES = 4 << 20
+ROWS_AT_ONCE = 4_096
 SEGMENT_CHARS = 1 << 18
 SEGMENT_PIECES = 1 << 16
 _WIDTHS = (4, 8, 16, 32, 64)  # a tree has a guard position at either end
@@ -69,6 +72,8 @@ class Encoder:
         self.none = np.int32(2**31 - 1)
         self.pattern = regex.compile(pattern)
         self.kept: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.held = 0  # bytes of ``kept``
         self.whole = {t: np.array(r, "<u4").tobytes() for r, t in tables["tokens"].items()}
         self.pairs: dict[int, int] | None = None
         if self.size * max(_WIDTHS) >= 2**31 or int(tables["bytes"].max()) >= self.size:
@@ -107,7 +112,7 @@ class Encoder:
                 continue
             held.append(parts[0] if parts else [])
             size += len(text)
-            if size > 4 * SEGMENT_CHARS:
+            if size > SEGMENT_CHARS:
                 yield from self._flush(held)
                 held, size = [], 0
         yield from self._flush(held)
@@ -122,28 +127,33 @@ class Encoder:
             yield b"".join(map(self.kept.__getitem__, pieces))
 
     def _learn(self, lists: list[list[str]]) -> None:
-        """Make sure that every piece of these lists is known."""
-        missing = set().union(*lists) - self.kept.keys()
-        if len(self.kept) + len(missing) > PIECES_KEPT:
-            self.kept.clear()
-            missing = set().union(*lists)
+        """Make sure that every piece of these lists is known.
+
+        A full generation becomes the older one, from which pieces that are met again return.
+        """
+        if self.held > KEPT_BYTES:
+            self.kept, self.older, self.held = {}, self.kept, 0
+        kept, older = self.kept, self.older
         by_width: dict[int, list[tuple[str, bytes]]] = {}
-        for piece in missing:
-            data = piece.encode()
-            known = self.whole.get(data)
+        for piece in set().union(*lists) - kept.keys():
+            self.held += PIECE_BYTES + 2 * len(piece)
+            known = older.get(piece)
+            if known is None:
+                data = piece.encode()
+                known = self.whole.get(data)
             if known is not None:
-                self.kept[piece] = known
+                kept[piece] = known
                 continue
             width = next((w for w in _WIDTHS if len(data) + 2 <= w), 0)
             if width:
                 by_width.setdefault(width, []).append((piece, data))
             else:
-                self.kept[piece] = self.merge_one(data)
+                kept[piece] = self.merge_one(data)
         for width, items in by_width.items():
             for start in range(0, len(items), ROWS_AT_ONCE):
                 some = items[start : start + ROWS_AT_ONCE]
                 packed = self.merge_many([data for _, data in some], width)
-                self.kept.update(zip((piece for piece, _ in some), packed, strict=True))
+                kept.update(zip((piece for piece, _ in some), packed, strict=True))
 
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair of ids, ``none`` where they don't merge."""
@@ -250,61 +260,58 @@ def encode_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
     with_ids: bool = False,
+    with_packed: bool = False,
+    with_decoded: bool = False,
 ) -> DataFrame:
-    """(id, n_tokens), and with ``with_ids`` the ids themselves.
+    """(id, n_tokens), and as asked for: ``ids`` as an array, ``packed`` as little-endian unsigned
+    32-bit integers, and ``decoded``, the bytes that the ids stand for.
 
     No special tokens; NULL texts are empty ones and have no tokens. The rank file is read by
     the driver; its tables, which follow the vocabulary alone, are broadcast.
     """
     shared = docs.sparkSession.sparkContext.broadcast(merge_tables(read_ranks(ranks_path)))
-    fields = [("id", pa.int64()), ("n_tokens", pa.int64())]
-    kind = "id long, n_tokens long"
+    fields = [("id", pa.int64(), "long"), ("n_tokens", pa.int64(), "long")]
     if with_ids:
-        fields.append(("ids", pa.list_(pa.int64())))
-        kind += ", ids array<long>"
-    schema = pa.schema(fields)
+        fields.append(("ids", pa.list_(pa.int32()), "array<int>"))
+    if with_packed:
+        fields.append(("packed", pa.binary(), "binary"))
+    if with_decoded:
+        fields.append(("decoded", pa.binary(), "binary"))
+    schema = pa.schema([(name, kind) for name, kind, _ in fields])
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = shared.value
-        encoder = tables.get("encoder")  # a worker keeps it beside the tables it came from
-        if encoder is None:
-            encoder = tables["encoder"] = Encoder(tables, pattern)
+        encoder = Encoder(shared.value, pattern)  # its memory goes with the task
         for batch in batches:
             columns: list[list] = [[] for _ in fields[1:]]
+            start, size = 0, 0
             texts = (value.as_py() for value in batch.column(1))
-            for packed in encoder.encode(texts):
-                columns[0].append(len(packed) // 4)
+            for row, packed in enumerate(encoder.encode(texts), 1):
+                found: list = [len(packed) // 4]
                 if with_ids:
-                    columns[1].append(np.frombuffer(packed, "<u4").astype(np.int64))
-            yield batch_of(schema, [batch.column(0), *columns])
+                    found.append(np.frombuffer(packed, "<i4"))
+                if with_packed:
+                    found.append(packed)
+                if with_decoded:
+                    found.append(encoder.decode(packed))
+                for column, value in zip(columns, found, strict=True):
+                    column.append(value)
+                size += 3 * len(packed) + 100
+                if size > BATCH_BYTES:
+                    yield batch_of(schema, [batch.column(0)[start:row], *columns])
+                    columns, start, size = [[] for _ in fields[1:]], row, 0
+            yield batch_of(schema, [batch.column(0)[start:], *columns])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
-    return rows.mapInArrow(kernel, kind).withColumnRenamed("id", id_col)
+    kinds = ", ".join(f"{name} {kind}" for name, _, kind in fields)
+    return rows.mapInArrow(kernel, kinds).withColumnRenamed("id", id_col)
 
 
-def with_digests(rows: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:
-    """Adds ids_sha256 and decoded_sha256 of an array of ids.
-
-    They are of the ids as little-endian unsigned 32-bit integers and of the bytes that they
-    decode to. A NULL array gives NULL; an id outside the vocabulary fails the job.
-    """
-    tokens = {rank: token for token, rank in read_ranks(ranks_path).items()}
-    shared = rows.sparkSession.sparkContext.broadcast(tokens)
-
-    @F.pandas_udf("ids_sha256 string, decoded_sha256 string")
-    def digests(ids: pd.Series) -> pd.DataFrame:
-        known = shared.value
-        found: list[tuple] = []
-        for v in ids:
-            if v is None:
-                found.append((None, None))
-                continue
-            decoded = b"".join(map(known.__getitem__, v.tolist()))
-            packed = v.astype("<u4").tobytes()
-            found.append((hashlib.sha256(packed).hexdigest(), hashlib.sha256(decoded).hexdigest()))
-        return pd.DataFrame(found, columns=["ids_sha256", "decoded_sha256"])
-
-    return rows.withColumn("digests", digests(F.col(ids_col))).select("*", "digests.*").drop("digests")
+def digests() -> tuple[Column, Column]:
+    """ids_sha256 and decoded_sha256 of ``packed`` and ``decoded``."""
+    return (
+        F.sha2("packed", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
 
 
 def decode_ids(rows: DataFrame, ranks_path: str, ids_col: str = "ids", out_col: str = "text") -> DataFrame:

@@ -58,8 +58,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path(RANKS)
     docs = read_table(spark, sf_dir, "documents")
-    coded = bpe.encode_documents(docs, ranks, public_tokenizers.PATTERN, with_ids=True)
-    return bpe.with_digests(coded, ranks).drop("ids")
+    coded = bpe.encode_documents(
+        docs, ranks, public_tokenizers.PATTERN, with_packed=True, with_decoded=True
+    )
+    return coded.select("doc_id", "n_tokens", *bpe.digests())
 
 
 @query
