@@ -179,19 +179,28 @@ def outcome_status(ok: Column, interrupted: Column, elapsed_sec: Column) -> Colu
 def run_summary(flights: DataFrame, hz: int, by: tuple[str, ...] = ("run_id",)) -> DataFrame:
     """Counters of a run. Points count completed flights only; a stopped flight leaves a file
     when it lasted at least a second (its duration holds the seconds it flew)."""
+    return flights.groupBy(*by).agg(*run_counters(hz))
+
+
+def run_counters(hz: int) -> list[Column]:
+    """The counters as aggregates; a running stream can observe them as its flights pass."""
     status = F.col("status")
     done = status == COMPLETED
     stopped = (status == INTERRUPTED) & (F.col("target_duration_sec") > 0)
     points = F.col("target_duration_sec").cast("long") * F.lit(hz)
-    return flights.groupBy(*by).agg(
+    return [
         F.count_if(done).alias("total_flights"),
         F.coalesce(F.sum(F.when(done, points)), F.lit(0)).alias("points_generated"),
         F.count_if(done | stopped).alias("files_saved"),
         F.count_if(status == FAILED).alias("errors"),
-    )
+    ]
+
+
+def winning_runs(flights: DataFrame) -> DataFrame:
+    """(unit, cycle, run_id): the last run of each flight."""
+    return flights.groupBy(*FLIGHT_KEY).agg(F.max("run_id").alias("run_id"))
 
 
 def latest_run_per_flight(ticks: DataFrame) -> DataFrame:
     """Keep only the last run of flights that were flown again."""
-    last = ticks.groupBy(*FLIGHT_KEY).agg(F.max("run_id").alias("run_id"))
-    return join_checked(ticks, last, [*FLIGHT_KEY, "run_id"], "left_semi").select(*ticks.columns)
+    return join_checked(ticks, winning_runs(ticks), [*FLIGHT_KEY, "run_id"], "left_semi").select(*ticks.columns)

@@ -23,7 +23,8 @@ def lowest_row(df: DataFrame, keys: tuple[str, ...], by: Column) -> DataFrame:
     return ranked.groupBy(*keys).agg(*picked).select(*df.columns)
 
 
-def _content(df: DataFrame, keys: tuple[str, ...]) -> Column:
+def content_hash(df: DataFrame, keys: tuple[str, ...]) -> Column:
+    """A hash of all columns but the keys, by which copies are ranked."""
     rest = [F.col(c) for c in df.columns if c not in keys]
     return F.xxhash64(*rest) if rest else F.lit(0)
 
@@ -31,7 +32,7 @@ def _content(df: DataFrame, keys: tuple[str, ...]) -> Column:
 def drop_duplicate_frames(df: DataFrame, keys: tuple[str, ...] = FRAME_KEY) -> DataFrame:
     """Keep one frame per key. Which of several different copies stays does not depend on
     partitioning or retries: it is the one whose content hashes lowest."""
-    return lowest_row(df, keys, _content(df, keys))
+    return lowest_row(df, keys, content_hash(df, keys))
 
 
 def drop_duplicates_by_unit(df: DataFrame) -> DataFrame:
@@ -43,7 +44,7 @@ def drop_duplicates_by_unit(df: DataFrame) -> DataFrame:
     # The key in run order, so that the windows after it find their sort done.
     copies = Window.partitionBy(UNIT, TS, CYCLE).orderBy("_by")
     return (
-        df.withColumn("_by", _content(df, FRAME_KEY))
+        df.withColumn("_by", content_hash(df, FRAME_KEY))
         .repartition(UNIT)
         .withColumn("_place", F.row_number().over(copies))
         .filter(F.col("_place") == 1)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable
 
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 
 from fleetpulse.functions import checks as C
 from fleetpulse.functions.parsing import once
+from fleetpulse.functions.times import epoch_millis, rfc3339, rfc3339_nano
 from fleetpulse.operators import ledger as L
 from fleetpulse.operators import rul as R
 from fleetpulse.operators import shield as S
@@ -24,9 +26,15 @@ from fleetpulse.settings import ShieldSettings
 from fleetpulse.sources import frames as FR
 from fleetpulse.sources import lake as K
 from fleetpulse.sources import text as TX
+from fleetpulse.sources.ledger_store import (
+    apply_reports, read_ledger, start_report_ingest, store_ledger,
+)
 from fleetpulse.streaming.ingest import start_lake_ingest, write_stream
+from fleetpulse.streaming.progress import (
+    LiveCounters, WatermarkLog, last_watermark, observed, settle,
+)
 from fleetpulse.streaming.shield import (
-    closing_frame, drop_duplicates_stream, late_frames, shield_stream,
+    closing_frame, drop_duplicates_stream, late_frames, least_copies_stream, shield_stream,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,20 +130,53 @@ def blueprint_load(spark, sf_dir):
     return TX.accepted_lines(TX.parse_lines(TX.read_lines(spark, path)))
 
 
+def _filed_lines(spark, sf_dir):
+    path = scratch_path(spark, "blueprint")
+    lines = V.run_view(spark, V.FILED_LINES, sf_dir, "lineitem", heavy=True)
+    lines.repartition("batch").sortWithinPartitions("batch", "line").write.partitionBy("batch").text(path)
+    return path
+
+
 @query
 def blueprint_rejects(spark, sf_dir):
     """Bad lines of text files, by the folder of their file and their number in it.
 
     Each folder gets one file, written in the order of its lines.
     """
-    path = scratch_path(spark, "blueprint")
-    lines = V.run_view(spark, V.FILED_LINES, sf_dir, "lineitem", heavy=True)
-    lines.repartition("batch").sortWithinPartitions("batch", "line").write.partitionBy("batch").text(path)
-    rejects = TX.read_blueprint(spark, path)[1]
+    rejects = TX.read_blueprint(spark, _filed_lines(spark, sf_dir))[1]
     batch = F.regexp_extract("file", r"batch=(\d+)", 1).cast("int")
     return rejects.select(batch.alias("batch"), "line_number", "line", TX.REJECT)
 
 
+@query
+def blueprint_strict(spark, sf_dir):
+    """A sound blueprint is loaded; a source with bad lines then changes nothing."""
+    table, good, mixed = (scratch_path(spark, name) for name in ("table", "good", "mixed"))
+    _lines(spark, sf_dir).filter(F.col(TX.REJECT).isNull()).select("line").write.text(good)
+    V.run_view(spark, V.LINES, sf_dir, "lineitem", heavy=True).select("line").write.text(mixed)
+    TX.load_blueprint_strict(spark, good, table)
+    try:
+        TX.load_blueprint_strict(spark, mixed, table)
+    except TX.BadLine:
+        return TX.read_blueprint_table(spark, table)
+    raise AssertionError("bad lines were loaded")
+
+
+@query
+def blueprint_first_reject(spark, sf_dir):
+    """The line that a strict load of files stops at."""
+    path = _filed_lines(spark, sf_dir)
+    try:
+        TX.load_blueprint_strict(spark, path, scratch_path(spark, "table"))
+    except TX.BadLine as bad:
+        batch = int(re.search(r"batch=(\d+)", bad.file)[1])
+        return spark.range(1).select(
+            F.lit(batch).alias("batch"), F.lit(bad.line_number).cast("long").alias("line_number"),
+            F.lit(bad.reason).alias(TX.REJECT),
+        )
+    raise AssertionError("bad lines were loaded")
+
+
 @query
 def text_parse_rejects(spark, sf_dir):
     return TX.rejected_lines(_lines(spark, sf_dir))
@@ -326,6 +367,32 @@ def lake_compact(spark, sf_dir):
     )
 
 
+@query
+def lake_expire(spark, sf_dir):
+    """Loads of two days, one written twice, compaction, expiry, and a late load after it."""
+    path = scratch_path(spark, "lake")
+    frames = FR.with_ingest_columns(_deduplicated(spark, sf_dir), AS_OF)
+    part = lambda n: frames.filter(F.col(CYCLE) % 4 == n)
+    K.write_lake(part(1), path, "hourly-0")
+    for n in range(2):
+        K.write_lake(part(n), path, f"hourly-{n}")
+    earlier = part(2).withColumn("processing_date", F.date_sub("processing_date", 1))
+    K.write_lake(earlier, path, "daily-0")
+    K.compact_lake(spark, path, "2024-01-31")
+    K.expire_lake(spark, path, keep_hours=0)
+    K.write_lake(part(3), path, "hourly-3")
+    return K.read_lake(spark, path).select(UNIT, CYCLE, TS, *READINGS, "processing_date")
+
+
+@query
+def mart_unit_trend(spark, sf_dir):
+    """A unit's trend on some days of a stored mart, whose other days are not even listed."""
+    path = scratch_path(spark, "mart")
+    K.write_mart(_mart(spark, sf_dir), path)
+    days = ("2024-01-22", "2024-01-23", "2024-01-26", "2024-01-27")
+    return M.engine_trend(K.read_mart(spark, path, days), TREND["unit"], days[0], days[-1])
+
+
 @query
 def lake_seed(spark, sf_dir):
     """A seeded lake and a load on top of it."""
@@ -374,7 +441,7 @@ def mart_day_range(spark, sf_dir):
     frames = _shielded(spark, sf_dir)
     K.write_mart(M.health_mart(M.staging(frames), sized_by=_fresh_sizes(spark, sf_dir)), path)
     days = "2024-01-27", "2024-01-29"
-    K.write_mart_days(spark, M.health_mart_days(M.staging(_without_a_day(frames)), *days), path, *days)
+    M.refresh_mart_days(spark, M.staging(_without_a_day(frames)), path, *days)
     return _mart_columns(K.read_mart(spark, path))
 
 
@@ -523,6 +590,27 @@ def edge_roundtrip(spark, sf_dir):
     )
 
 
+@query
+def latest_run_from_edge(spark, sf_dir):
+    """Tick files of flights that were flown again: only folders of winning runs are read."""
+    path = scratch_path(spark, "edge")
+    flown = V.run_view(spark, V.REFLOWN_TICKS, sf_dir, "orders")
+    ticks = flown.withColumn(TS, F.col(TS).cast("timestamp")).withColumn("flight_start_time", F.date_trunc("day", TS))
+    K.write_edge(X.edge_rows(ticks, F.col("run_id")), path)
+    return K.latest_run_from_edge(spark, path).groupBy("run_id", UNIT, CYCLE).agg(
+        F.count(F.lit(1)).alias("ticks"), F.min(TS).alias("first_tick"), F.sum("T50").alias("t50_total")
+    )
+
+
+@query
+def time_formats(spark, sf_dir):
+    """Frame times as ledger text, as milliseconds and as a partition date."""
+    return V.telemetry(spark, sf_dir).select(
+        UNIT, CYCLE, rfc3339(F.col(TS)).alias("second_text"), rfc3339_nano(F.col(TS)).alias("wire_text"),
+        epoch_millis(F.col(TS)).alias("millis"), F.to_date(TS).alias("date"),
+    )
+
+
 # --- life labels ------------------------------------------------------------------------
 
 
@@ -538,11 +626,10 @@ def rul_truth_join(spark, sf_dir):
 
 
 def _life_vector(spark, sf_dir):
-    """A life vector from its text file, line i for unit i; one line per supplier here."""
+    """A life vector from its text files, line i for unit i; one line per supplier here."""
     path = scratch_path(spark, "life")
-    V.run_view(spark, V.LIVES, sf_dir, "supplier").coalesce(1).sortWithinPartitions("s_suppkey").select(
-        "line"
-    ).write.text(path)
+    lives = V.run_view(spark, V.LIVES, sf_dir, "supplier")
+    lives.repartitionByRange("s_suppkey").sortWithinPartitions("s_suppkey").select("line").write.text(path)
     return TX.read_life_vector(spark, path)
 
 
@@ -561,9 +648,18 @@ def life_vector_check(spark, sf_dir):
 # --- streams ----------------------------------------------------------------------------
 
 
-def _drain(spark, df, keys=()):
+def _drain(spark, df, keys=(), listener=None):
     out = scratch_path(spark, "out")
-    write_stream(df, out, scratch_path(spark, "checkpoint"), keys, once=True).awaitTermination()
+    if listener is not None:
+        spark.streams.addListener(listener)
+    try:
+        running = write_stream(df, out, scratch_path(spark, "checkpoint"), keys, once=True)
+        running.awaitTermination()
+        if listener is not None:
+            settle(listener, running)
+    finally:
+        if listener is not None:
+            spark.streams.removeListener(listener)
     return spark.read.schema(df.schema).parquet(out)
 
 
@@ -625,6 +721,47 @@ def stream_dedup(spark, sf_dir):
     return _drain(spark, frames.select(UNIT, CYCLE, TS, *READINGS))
 
 
+@query
+def stream_least_copies(spark, sf_dir):
+    """Copies that differ: which one a stream keeps is what a batch keeps, not what came first."""
+    frames = V.run_view(spark, V.COPIES, sf_dir, "events").withColumn(TS, F.col(TS).cast("timestamp"))
+    path, files = V.write_slices(frames)
+    closing_frame(frames).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(frames.schema).option("maxFilesPerTrigger", files).parquet(path)
+    kept = _drain(spark, least_copies_stream(stream))
+    batch = drop_duplicate_frames(frames).select(UNIT, CYCLE, TS, F.col("Nc").alias("_nc"), F.col("phi").alias("_phi"))
+    same = (F.col("Nc") == F.col("_nc")) & (F.col("phi") == F.col("_phi"))
+    both = kept.join(batch, [UNIT, CYCLE, TS], "full")
+    return both.select(UNIT, CYCLE, TS, F.coalesce(same, F.lit(False)).alias("as_in_batch"))
+
+
+@query
+def stream_run_counters(spark, sf_dir):
+    """Counters of flights that a stream observes as they pass, without a second scan."""
+    flown = V.run_view(spark, V.FLOWN, sf_dir, "orders")
+    path = scratch_path(spark, "flown")
+    V.spread(flown).write.parquet(path)
+    stream = spark.readStream.schema(flown.schema).option("maxFilesPerTrigger", 3).parquet(path)
+    counters = LiveCounters()
+    _drain(spark, observed(stream, "flights", *L.run_counters(hz=100)), listener=counters)
+    totals = counters.totals("flights")
+    named = ("total_flights", "points_generated", "files_saved", "errors")
+    return spark.range(1).select(*[F.lit(totals[name]).cast("long").alias(name) for name in named])
+
+
+@query
+def ledger_stream_reports(spark, sf_dir):
+    """Reports reach a stored ledger as a stream, and then all of them once more."""
+    path, source = scratch_path(spark, "ledger"), scratch_path(spark, "reports")
+    store_ledger(V.ledger(spark, sf_dir), path, buckets=16)
+    reports = V.run_view(spark, V.REPORTS, sf_dir, "orders")
+    reports.repartition(4, "seq", CYCLE).write.parquet(source)
+    stream = spark.readStream.schema(reports.schema).option("maxFilesPerTrigger", 2).parquet(source)
+    start_report_ingest(stream, path, scratch_path(spark, "checkpoint"), once=True).awaitTermination()
+    apply_reports(spark, path, reports)
+    return read_ledger(spark, path)
+
+
 @query
 def stream_shield(spark, sf_dir):
     """All rules on a stream that ends: a closing frame releases the last ones."""
@@ -636,8 +773,27 @@ def stream_shield(spark, sf_dir):
 def stream_late_frames(spark, sf_dir):
     """Frames held back until the watermark had passed them, found by comparing sent and released."""
     stream = _telemetry_stream(spark, sf_dir, closed=True, held_back=HELD_BACK)
-    released = _drain(spark, shield_stream(stream, AS_OF, SAMPLE_SHIELD))
-    late = late_frames(V.telemetry(spark, sf_dir), released, AS_OF, SAMPLE_SHIELD)
+    return _late(spark, sf_dir, stream)
+
+
+@query
+def stream_late_in_gap(spark, sf_dir):
+    """The stream releases nothing at all: one frame far ahead came first, all others are late."""
+    frames = V.telemetry(spark, sf_dir)
+    path = scratch_path(spark, "ahead")
+    for _ in range(2):  # lateness is judged by the watermark of the batch before
+        closing_frame(frames).coalesce(1).write.mode("append").parquet(path)
+    frames.coalesce(4).write.mode("append").parquet(path)
+    return _late(spark, sf_dir, spark.readStream.schema(frames.schema).option("maxFilesPerTrigger", 1).parquet(path))
+
+
+def _late(spark, sf_dir, stream):
+    marks = scratch_path(spark, "watermarks")
+    released = _drain(
+        spark, shield_stream(stream, AS_OF, SAMPLE_SHIELD), listener=WatermarkLog(spark, marks)
+    )
+    last = last_watermark(spark, marks)
+    late = late_frames(V.telemetry(spark, sf_dir), released, AS_OF, SAMPLE_SHIELD, last)
     return late.select(UNIT, CYCLE, TS, *READINGS, FR.REJECT)
 
 

@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from fleetpulse.functions.checks import reasons_as_text
 from fleetpulse.functions.times import date_literal
 from fleetpulse.operators.split_runs import (
     HOUR, MILLI, MINUTE, SECOND, Runs, over_runs, plan_cuts,
 )
-from fleetpulse.schema import AVERAGE, CYCLE, EVENT_TS, FLAG, REASON, TS, UNIT
+from fleetpulse.schema import AVERAGE, CYCLE, EVENT_TS, FLAG, REASON, TS, UNIT, mart_schema
+from fleetpulse.session import cut_lineage
 from fleetpulse.settings import MartSettings
+from fleetpulse.sources.lake import read_mart, write_mart_days
 
 DEFAULTS = MartSettings()
 
@@ -68,34 +72,71 @@ def health_mart(
     )
 
 
-def health_mart_days(
-    stg: DataFrame, start: date | str, end: date | str, settings: MartSettings = DEFAULTS
-) -> DataFrame:
-    """The mart's rows from one event date to another, both included, as the whole mart has them.
+def refresh_mart_days(
+    spark: SparkSession, stg: DataFrame, path: str, start: date | str, end: date | str,
+    settings: MartSettings = DEFAULTS,
+) -> None:
+    """Bring a stored mart up to date after staging changed between two event dates.
+
+    The result is that of a full build over ``stg``. A change of a row also changes the averages of
+    up to ``frame_rows - 1`` rows of its unit after it, in the mart's order, on whatever days
+    those lie. So for each unit the rows from the first changed place to the last, before or now,
+    and the next few, are computed again, with the few before them as a look-back. The days they
+    lie on are rewritten, with their other rows as they are, and published in one step.
 
-    A unit's rows are read from its first to its last one in the range, in the mart's order, with
-    the few before, which come from a top-n per unit that each task cuts down before the shuffle.
+    Both the old mart and ``stg`` are read once for places (two columns) and once for rows; the few
+    rows before and after come from a top-n per unit that each task cuts down before the shuffle.
     """
     first, last = date_literal(start), date_literal(end)
-    inside = F.to_date(EVENT_TS).between(first, last)
     place = F.struct(CYCLE, EVENT_TS)
-    reach = (
-        stg.filter(inside).groupBy(UNIT)
-        .agg(F.min(place).alias("_low"), F.max(place).alias("_high"))
+    old = read_mart(spark, path)
+    inside = F.col("event_date").between(first, last)
+    places = (
+        stg.filter(F.to_date(EVENT_TS).between(first, last)).select(UNIT, place.alias("_place"))
+        .unionByName(old.filter(inside).select(UNIT, place.alias("_place")))
+    )
+    reach = cut_lineage(
+        places.groupBy(UNIT)
+        .agg(F.min("_place").alias("_low"), F.max("_place").alias("_high"))
         .withColumnRenamed(UNIT, "_unit")
     )
-    near = stg.withColumn("_place", place).join(
-        reach, F.col(UNIT).eqNullSafe(F.col("_unit")) & (F.col("_place") <= F.col("_high"))
+    rows = stg.withColumn("_place", place).join(reach, F.col(UNIT).eqNullSafe(F.col("_unit")))
+    back = settings.frame_rows - 1
+
+    def nearest(some: DataFrame, order: Column) -> DataFrame:
+        ranked = some.withColumn("_rank", F.row_number().over(Window.partitionBy(UNIT).orderBy(order)))
+        return ranked.filter(F.col("_rank") <= back).drop("_rank")
+
+    before = nearest(rows.filter(F.col("_place") < F.col("_low")), F.col("_place").desc())
+    after = nearest(rows.filter(F.col("_place") > F.col("_high")), F.col("_place"))
+    between = rows.filter(F.col("_place").between(F.col("_low"), F.col("_high")))
+    near = cut_lineage(before.unionByName(between).unionByName(after).select(*stg.columns))
+    again = cut_lineage(
+        health_mart(near, settings)
+        .withColumn("_place", place)
+        .join(reach.drop("_high"), F.col(UNIT).eqNullSafe(F.col("_unit")))
+        .filter(F.col("_place") >= F.col("_low"))
+        .drop("_unit", "_low")
+    )
+    ends = again.groupBy(UNIT).agg(F.max("_place").alias("_last"))
+    spans = (
+        reach.join(ends.withColumnRenamed(UNIT, "_of"), F.col("_unit").eqNullSafe(F.col("_of")), "left")
+        .select("_unit", "_low", F.greatest("_high", F.coalesce("_last", "_high")).alias("_last"))
     )
-    newest_first = Window.partitionBy(UNIT).orderBy(F.col("_place").desc())
-    before = (
-        near.filter(F.col("_place") < F.col("_low"))
-        .withColumn("_rank", F.row_number().over(newest_first))
-        .filter(F.col("_rank") < F.lit(settings.frame_rows))
-        .select(*stg.columns)
+    days = {r.event_date for r in again.select("event_date").distinct().collect()}
+    days |= {r.event_date for r in old.filter(inside).select("event_date").distinct().collect()}
+    # A unit's rows in its span were computed again or are gone; the rest of these days stays.
+    kept = read_mart(spark, path, sorted(days)).withColumn("_place", place)
+    kept = kept.join(spans, F.col(UNIT).eqNullSafe(F.col("_unit")), "left").filter(
+        F.col("_low").isNull() | ~F.col("_place").between(F.col("_low"), F.col("_last"))
     )
-    rows = near.filter(F.col("_place") >= F.col("_low")).select(*stg.columns).unionByName(before)
-    return health_mart(rows, settings).filter(F.col("event_date").between(first, last))
+    columns = mart_schema().names
+    again = again.withColumn(REASON, reasons_as_text()) if _is_array(again) else again
+    write_mart_days(again.select(*columns).unionByName(kept.select(*columns)), path, days)
+
+
+def _is_array(df: DataFrame) -> bool:
+    return isinstance(df.schema[REASON].dataType, T.ArrayType)
 
 
 def health_per_cycle(

@@ -36,6 +36,17 @@ SELECT CAST(e.user_id % 50 + 1 AS INT) AS unit_number,
 FROM (SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_id % 20 = 0) e
 """
 
+# Frames of which some come twice with other readings.
+COPIES = """
+SELECT CAST(user_id % 50 + 1 AS INT) AS unit_number, CAST(FLOOR(event_id / 100) AS INT) AS time_cycles,
+  ts AS timestamp, CAST(event_id % 16 AS DOUBLE) AS Nc, CAST(520 + (event_id * 7) % 16 AS DOUBLE) AS phi
+FROM events
+UNION ALL
+SELECT CAST(user_id % 50 + 1 AS INT) AS unit_number, CAST(FLOOR(event_id / 100) AS INT) AS time_cycles,
+  ts AS timestamp, CAST(event_id % 13 AS DOUBLE) AS Nc, CAST(500 + event_id % 11 AS DOUBLE) AS phi
+FROM events WHERE event_id % 3 = 0
+"""
+
 LEDGER = """
 SELECT CAST(o_custkey % 100 + 1 AS INT) AS unit_number, o_orderkey AS time_cycles,
   CASE o_orderstatus WHEN 'F' THEN 'COMPLETED' WHEN 'P' THEN 'IN_FLIGHT' ELSE 'PENDING' END AS status,
@@ -65,6 +76,14 @@ SELECT concat('run_', CAST(o_orderdate AS STRING)) AS run_id,
 FROM orders
 """
 
+# The same flights as ticks with a time and one reading; few of many runs are the last of any.
+REFLOWN_TICKS = """
+SELECT concat('run_', CAST(YEAR(o_orderdate) AS STRING)) AS run_id,
+  CAST(o_custkey % 40 + 1 AS INT) AS unit_number, CAST(o_custkey % 7 AS INT) AS time_cycles,
+  CAST(o_orderdate AS TIMESTAMP) AS timestamp, CAST(o_orderkey % 97 AS DOUBLE) AS T50
+FROM orders
+"""
+
 # A ledger in which the units and readings of each flight are known.
 FLIGHTS = (
     LEDGER.rstrip().removesuffix("FROM orders").rstrip()

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetpulse.functions.parsing import contract_breach, id_value, numbers, once, tokens
 from fleetpulse.operators.joins import join_checked
 from fleetpulse.schema import CYCLE, SENSORS, UNIT, blueprint_schema
 from fleetpulse.session import cut_lineage
+from fleetpulse.sources.versions import read_parts, write_parts
 
 REJECT = "reject_reason"
 _SOME_TEXT = r"\S"
@@ -33,17 +34,17 @@ def _placed(raw: DataFrame) -> DataFrame:
     )
 
 
-def _number(placed: DataFrame, wanted: str) -> DataFrame:
+def _number(placed: DataFrame, wanted: str, within_file: bool = True) -> DataFrame:
     """Number placed lines without a global sort; those stay in which ``wanted`` is known.
 
     A scan task reads a piece of a file in order, so ids rise along a piece. The tagged lines
     are written once, which fixes the pieces; then a line's number is its place in its piece
-    plus the lines in the pieces before. Only one row per piece is moved.
+    plus the lines in the pieces before, of its file or of all files by name. Only one row per
+    piece is moved.
     """
     tagged = cut_lineage(placed)
-    before = Window.partitionBy("file").orderBy("_piece").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+    along = Window.partitionBy("file").orderBy("_piece") if within_file else Window.orderBy("file", "_piece")
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
     pieces = (
         tagged.groupBy("file", "_piece")
         .agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_lines"))
@@ -118,9 +119,43 @@ def read_blueprint(
     return accepted_lines(parse_lines(read_lines(spark, path))), rejects
 
 
+class BadLine(ValueError):
+    """The first line, by file name and number, that a strict load does not accept."""
+
+    def __init__(self, file: str, line_number: int, reason: str):
+        super().__init__(f"{file}:{line_number}: {reason}")
+        self.file, self.line_number, self.reason = file, line_number, reason
+
+
+def load_blueprint_strict(spark: SparkSession, source: str | list[str], table: str) -> None:
+    """Replace a stored blueprint by all lines of the source, or leave it as it is.
+
+    The lines are read once and staged beside the table while bad ones are counted. Without any,
+    one small file publishes the stage; otherwise the lines are numbered and the first bad one is
+    raised as ``BadLine``.
+    """
+    seen = Observation()
+    parsed = parse_lines(read_lines(spark, source)).observe(seen, F.count_if(F.col(REJECT).isNotNull()).alias("bad"))
+
+    def sound() -> None:
+        if seen.get["bad"]:
+            first = numbered_rejects(spark, source).agg(F.min(F.struct("file", "line_number", REJECT)).alias("first"))
+            raise BadLine(*first.first().first)
+
+    write_parts(accepted_lines(parsed).withColumn("stage", F.lit("whole")), table, "stage", check=sound)
+
+
+def read_blueprint_table(spark: SparkSession, table: str) -> DataFrame:
+    return read_parts(spark, table, "stage", blueprint_schema())
+
+
 def read_life_vector(spark: SparkSession, path: str) -> DataFrame:
-    """Truth per test unit: the entry on line i belongs to unit i."""
-    lines = read_lines(spark, path, numbered=True)
-    return lines.select(
+    """Truth per test unit: the entry on line i belongs to unit i.
+
+    A vector in several files goes on from one to the next by their names; each is read by tasks
+    of its own, and a line's place is counted from the lines before it.
+    """
+    lines = _number(_placed(spark.read.text(path).withColumnRenamed("value", "line")), "line", within_file=False)
+    return lines.filter(F.col("line").rlike(_SOME_TEXT)).select(
         F.col("line_number").cast("int").alias(UNIT), F.trim("line").cast("int").alias("rul")
     )

@@ -12,6 +12,8 @@ by comparing what was sent with what was released.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,13 +21,14 @@ from pyspark.sql import types as T
 
 from fleetpulse.functions import checks as C
 from fleetpulse.functions.times import AsOf, as_of_column
-from fleetpulse.operators.pick import drop_duplicate_frames
+from fleetpulse.operators.pick import content_hash, drop_duplicate_frames
 from fleetpulse.operators.shield import assemble, drop_stale, with_row_hits
 from fleetpulse.schema import FRAME_KEY, TS, UNIT
 from fleetpulse.session import ROCKSDB_PROVIDER, STATE_STORE
 from fleetpulse.settings import ShieldSettings
 from fleetpulse.sources.frames import REJECT
 from fleetpulse.streaming import run_rules as R
+from fleetpulse.streaming.progress import utc_text
 
 cloudpickle.register_pickle_by_value(R)
 
@@ -39,6 +42,21 @@ def drop_duplicates_stream(
     return frames.withWatermark(TS, settings.watermark).dropDuplicates(list(FRAME_KEY))
 
 
+def least_copies_stream(
+    frames: DataFrame, settings: ShieldSettings = ShieldSettings()
+) -> DataFrame:
+    """Of the copies of a frame the one that ``drop_duplicate_frames`` keeps, whichever came first.
+
+    State holds the least copy of each frame until the watermark passes it; then it leaves, so
+    frames come out later than from ``drop_duplicates_stream``, by the watermark's delay.
+    """
+    keys = list(FRAME_KEY)
+    rest = [c for c in frames.columns if c not in keys]
+    ranked = frames.withColumn("_by", content_hash(frames, FRAME_KEY)).withWatermark(TS, settings.watermark)
+    least = ranked.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.col("_by")).alias("_copy"))
+    return least.select(*[c if c in keys else F.col(f"_copy.{c}").alias(c) for c in frames.columns])
+
+
 def closing_frame(frames: DataFrame, at: str = "2200-01-01 00:00:00") -> DataFrame:
     """One frame of no unit, far after all others.
 
@@ -88,17 +106,22 @@ def shield_stream(
 
 def late_frames(
     frames: DataFrame, released: DataFrame, as_of: AsOf = None,
-    settings: ShieldSettings = ShieldSettings(),
+    settings: ShieldSettings = ShieldSettings(), watermark: datetime | None = None,
 ) -> DataFrame:
     """Frames that came to a stream too late, with a reason; a batch job over stored tables.
 
     ``frames`` are those that were sent, ``released`` is the output of ``shield_stream``. A late
-    frame is young enough, is not among the released ones, and is older than the newest of them;
-    what is newer may still wait. One anti-join on the frame's key; the driver reads one time.
+    frame is young enough, is not among the released ones, and is not newer than ``watermark``, the
+    last one of the stream (``progress.last_watermark``): what that has passed is released or
+    lost, whatever else was released. Without a watermark the newest released frame stands for
+    it, which misses late frames above that one. One anti-join on the frame's key.
     """
-    newest = released.agg(F.max(TS).alias("newest")).first().newest
+    if watermark is None:
+        bound = F.lit(released.agg(F.max(TS).alias("newest")).first().newest)
+    else:
+        bound = F.lit(utc_text(watermark)).cast("timestamp")
     sent = drop_stale(drop_duplicate_frames(frames), as_of_column(as_of), settings)
-    passed = sent.filter(F.col(TS) <= F.lit(newest)).alias("sent")
+    passed = sent.filter(F.col(TS) <= bound).alias("sent")
     known = released.select(*FRAME_KEY).alias("released")
     same = F.lit(True)
     for name in FRAME_KEY:

@@ -1,4 +1,5 @@
 import os
+import random
 import subprocess
 import sys
 import time
@@ -11,6 +12,7 @@ from helpers import (
 )
 from pyspark.sql import functions as F
 
+from fleetpulse.operators.pick import drop_duplicate_frames
 from fleetpulse.operators.ticks import encode_frames
 from fleetpulse.plans import sample_views as V
 from fleetpulse.session import STATE_STORE
@@ -18,6 +20,7 @@ from fleetpulse.settings import ShieldSettings
 from fleetpulse.sources import frames as FR
 from fleetpulse.sources import lake as K
 from fleetpulse.streaming import ingest as I
+from fleetpulse.streaming import progress as P
 from fleetpulse.streaming import shield as SS
 
 
@@ -279,3 +282,75 @@ def test_stream_rules_ask_for_their_state_store(spark, tmp_path):
 def test_slices_of_an_empty_table(spark):
     path, files = V.write_slices(spark.createDataFrame([], COLUMNS))
     assert files == 1 and spark.read.schema(COLUMNS).parquet(path).count() == 0
+
+
+def test_the_survivor_of_differing_copies_is_that_of_a_batch(spark, tmp_path):
+    source, rows = Folder(spark, tmp_path / "in"), []
+    rng = random.Random(4)
+    for n in range(40):
+        rows += [frame(unit=n % 3, cycle=n, second=n, P30=540.0 + k) for k in range(rng.randint(1, 4))]
+    for n in range(4):  # copies of a frame come in different batches, in this order and in that
+        source.add([r for k, r in enumerate(rows) if k % 4 == n])
+    SS.closing_frame(spark.createDataFrame([], COLUMNS)).write.mode("append").parquet(source.path)
+    kept = drain(SS.least_copies_stream(source.stream(), ShieldSettings(watermark="10 minutes")), tmp_path)
+    batch = drop_duplicate_frames(spark.createDataFrame(rows, COLUMNS))
+    mark = lambda df: sorted((r.unit_number, r.time_cycles, r.P30) for r in df.collect())
+    assert mark(kept) == mark(batch) and len(mark(kept)) == 40
+
+
+def test_late_frames_are_found_by_the_watermark(spark, tmp_path):
+    """Late ones above the newest released frame, and where nothing was released."""
+    for name, early in (("gap", [frame(cycle=n, second=n) for n in range(0, 40, 10)]), ("none", [])):
+        folder = tmp_path / name
+        folder.mkdir()
+        source, marks = Folder(spark, folder / "in"), str(folder / "marks")
+        late = [frame(unit=2, cycle=91, second=300), frame(unit=3, cycle=92, second=480)]
+        waiting = [frame(cycle=50, second=500), frame(cycle=60, second=501)]
+        for rows in (*([early] if early else []), waiting[:1], waiting[1:], late):
+            source.add(rows)
+        log = P.WatermarkLog(spark, marks)
+        spark.streams.addListener(log)
+        try:
+            out, checkpoint = str(folder / "out"), str(folder / "checkpoint")
+            shielded = SS.shield_stream(source.stream(), START)
+            running = I.write_stream(shielded, out, checkpoint, once=True)
+            running.awaitTermination()
+            P.settle(log, running)
+        finally:
+            spark.streams.removeListener(log)
+        released = spark.read.schema(shielded.schema).parquet(out)
+        assert released.count() == len(early)
+        last = P.last_watermark(spark, marks)
+        assert P.utc_text(last) == "2024-01-01 00:08:11.000000"
+        sent = spark.createDataFrame([*early, *waiting, *late], COLUMNS)
+        found = SS.late_frames(sent, released, START, watermark=last).collect()
+        assert sorted(r.time_cycles for r in found) == [91, 92]
+
+
+def test_counters_of_a_running_ingest_and_a_batch_tried_again(spark, tmp_path):
+    path, lake, bad, checkpoint = (str(tmp_path / n) for n in ("in", "lake", "bad", "c"))
+    for n in range(3):
+        rows = spark.createDataFrame([frame(second=10 * n + k) for k in range(5)], COLUMNS)
+        encode_frames(rows, START).coalesce(1).write.mode("append").text(path)
+    spark.createDataFrame([("{bad",)], "value string").coalesce(1).write.mode("append").text(path)
+    counters = P.LiveCounters()
+    spark.streams.addListener(counters)
+    try:
+        def run(as_of):
+            running = I.start_lake_ingest(
+                spark, FR.FileSource(path, 1), lake, checkpoint, as_of=as_of, once=True, rejects=bad, counted_as="ingest"
+            )
+            running.awaitTermination()
+            P.settle(counters, running)
+        run("2024-01-01 00:00:00")
+        assert counters.totals("ingest") == {"batches": 4, "frames": 16, "accepted": 15, "rejected": 1, "without_unit": 1}
+        K.compact_lake(spark, lake, "2024-01-01")
+        K.expire_lake(spark, lake, 0)
+        for name in ("3", ".3.crc"):
+            os.rename(f"{checkpoint}/commits/{name}", str(tmp_path / f"gone{name}"))
+        run("2024-01-02 00:00:00")  # the last batch again, a day later
+    finally:
+        spark.streams.removeListener(counters)
+    days = {str(r.processing_date): r["count"] for r in K.read_lake(spark, lake).groupBy("processing_date").count().collect()}
+    assert days == {"2024-01-01": 15}
+    assert [r.value for r in spark.read.parquet(bad).collect()] == ["{bad"]
