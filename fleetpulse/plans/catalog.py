@@ -769,6 +769,13 @@ def stream_shield(spark, sf_dir):
     return _drain(spark, frames)
 
 
+@query
+def stream_shield_by_span(spark, sf_dir):
+    """The same rules with units spread over spans of eight days."""
+    stream = _telemetry_stream(spark, sf_dir, closed=True)
+    return _drain(spark, shield_stream(stream, AS_OF, SAMPLE_SHIELD, span_seconds=8 * 86_400))
+
+
 @query
 def stream_late_frames(spark, sf_dir):
     """Frames held back until the watermark had passed them, found by comparing sent and released."""

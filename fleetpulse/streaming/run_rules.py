@@ -16,6 +16,11 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 # Names in transit; Spark hands rows over as named tuples, which cannot start with "_".
 NULLS, NANS, MICROS = "null_bits", "nan_bits", "event_micros"
 
+# Where a frame stands in its span, and the lane it goes on in.
+SPAN, EDGE, LANE = "event_span", "edge", "lane"
+INNER, HEAD, TAIL = 0, 1, 2
+ALL_SPANS = -(2**62)
+
 # Rules, and the readings they look at.
 COUNTER_FELL, FROZEN, DRIFTED = "counter_fell", "frozen", "drifted"
 READ = CYCLE, PRESSURE, SPEED, FUEL, EXHAUST = "time_cycles", "P30", "Nc", "phi", "T50"
@@ -129,6 +134,102 @@ class RunRules(StatefulProcessor):
         return run[self.columns].assign(**hits)
 
 
+class SpanRules(RunRules):
+    """Judge the frames of one span of time of a unit, all but its first few.
+
+    Keys are a unit and the number of a span, so a unit is spread over as many tasks as it has
+    open spans. The first frames of a span look back into earlier ones: they leave unjudged as
+    ``HEAD``. When the watermark has passed the span, its last frames leave once more as ``TAIL``,
+    and its state is forgotten. ``EdgeRules`` puts the edges together.
+    """
+
+    def __init__(
+        self, columns: list[str], places: dict[str, int], rules: list[str], horizon: int, micros: int
+    ):
+        super().__init__(columns, places, rules, horizon)
+        self.micros = micros
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.passed = handle.getValueState("passed", "count long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        self.span = int(key[1])
+        yield from super().handleInputRows(key, rows, timerValues)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.span = int(key[1])
+        if self.arrivals.get():  # else the span was closed by an earlier timer
+            yield from super().handleExpiredTimer(key, timerValues, expiredTimerInfo)
+
+    def _release(self, timer_values, arrival: int) -> Iterator[pd.DataFrame]:
+        stored = self.passed.get()
+        passed = stored[0] if stored else 0
+        for part in super()._release(timer_values, arrival):
+            head = np.arange(passed, passed + len(part)) < self.horizon - 1
+            yield self._marked(part, np.where(head, HEAD, INNER))
+            passed += len(part)
+        end = (self.span + 1) * self.micros
+        if timer_values.getCurrentWatermarkInMs() * 1000 < end:
+            self.passed.update((passed,))
+            self.handle.registerTimer(end // 1000)
+            return
+        last = _from_bytes(self.judged.get()[0]) if self.judged.get() else pd.DataFrame()
+        if len(last):
+            hits = {f"hit{n}": np.zeros(len(last), bool) for n in range(len(self.rules))}
+            yield self._marked(last.assign(**hits), np.full(len(last), TAIL))
+        for state in (self.judged, self.arrivals, self.passed):
+            state.clear()
+
+    def _marked(self, part: pd.DataFrame, edge: np.ndarray) -> pd.DataFrame:
+        lane = np.where(edge == INNER, self.span, ALL_SPANS)
+        return part.assign(**{SPAN: self.span, EDGE: edge.astype("int32"), LANE: lane})
+
+
+class EdgeRules(RunRules):
+    """Judge the first frames of each span after the last ones of the spans before.
+
+    Keys are a unit and a lane. A unit's edges share one lane, a few frames a span; frames that
+    are judged already pass through lanes of their own. All frames of earlier spans come no later
+    than the head of a span, so nothing waits: the state is the last frames before the open
+    span, and its own heads so far.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.before = handle.getValueState("before", "frames binary")
+        self.heads = handle.getValueState("heads", "span long, frames binary")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        hits = [f"hit{n}" for n in range(len(self.rules))]
+        if int(key[1]) != ALL_SPANS:
+            for chunk in rows:
+                yield chunk[[*self.columns, *hits]]
+            return
+        order = [SPAN, EDGE, MICROS, f"value{self.places[CYCLE]}"]
+        edges = pd.concat(list(rows), ignore_index=True).sort_values(order, na_position="first", kind="stable")
+        stored, opened = self.before.get(), self.heads.get()
+        before = _from_bytes(stored[0]) if stored else pd.DataFrame()
+        span, heads = (opened[0], _from_bytes(opened[1])) if opened else (None, pd.DataFrame())
+        for of_span, group in edges.groupby(SPAN, sort=True):
+            if of_span != span:
+                span, heads = of_span, pd.DataFrame()
+            new = group[group[EDGE] == HEAD][self.columns]
+            known = [part for part in (before, heads) if len(part)]
+            if len(new):
+                run = pd.concat([*known, new], ignore_index=True)
+                yield self._judge(run).iloc[len(run) - len(new):]
+                heads = pd.concat([heads, new], ignore_index=True) if len(heads) else new
+            tail = group[group[EDGE] == TAIL][self.columns]
+            if len(tail):
+                run = pd.concat([before, tail], ignore_index=True) if len(before) else tail
+                before, heads = run.tail(self.horizon - 1).reset_index(drop=True), pd.DataFrame()
+        self.before.update((_to_bytes(before),))
+        self.heads.update((int(span), _to_bytes(heads)))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        return iter(())
+
+
 class _Reading:
     """A column with its NULLs, compared as Spark compares: NULL is never a hit, NaN equals
     itself and is above every number."""

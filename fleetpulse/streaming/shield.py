@@ -70,9 +70,16 @@ def closing_frame(frames: DataFrame, at: str = "2200-01-01 00:00:00") -> DataFra
 
 
 def shield_stream(
-    frames: DataFrame, as_of: AsOf = None, settings: ShieldSettings = ShieldSettings()
+    frames: DataFrame, as_of: AsOf = None, settings: ShieldSettings = ShieldSettings(),
+    span_seconds: int | None = None,
 ) -> DataFrame:
-    """All rules, in the order of the batch pipeline. Input has no quality columns yet."""
+    """All rules, in the order of the batch pipeline. Input has no quality columns yet.
+
+    Frames are judged by unit, so a unit is one task. With ``span_seconds`` they are judged
+    by unit and span of time, and only the few frames at the edges of a span meet by unit. That
+    suits units with a large share of all frames and spans of many frames; it takes a second pass
+    through Python.
+    """
     if frames.sparkSession.conf.get(STATE_STORE, None) != ROCKSDB_PROVIDER:
         raise RuntimeError(f"{STATE_STORE} must be {ROCKSDB_PROVIDER}, as build_session sets it")
     reference = as_of_column(as_of)
@@ -86,17 +93,29 @@ def shield_stream(
         [f for f in packed.schema.fields if f.name != TS]
         + [T.StructField(f"hit{n}", T.BooleanType()) for n in range(len(rules))]
     )
-    judged = packed.groupBy(UNIT).transformWithStateInPandas(
-        statefulProcessor=R.RunRules(
-            [f.name for f in packed.schema.fields if f.name != TS],
-            {name: places[name] for name in R.READ if name in places},
-            list(rules.values()),
-            settings.freeze_horizon,
-        ),
-        outputStructType=output,
-        outputMode="Append",
-        timeMode="EventTime",
+    how = (
+        [f.name for f in packed.schema.fields if f.name != TS],
+        {name: places[name] for name in R.READ if name in places},
+        list(rules.values()),
+        settings.freeze_horizon,
     )
+    if span_seconds is not None:
+        micros = span_seconds * 1_000_000
+        span = F.floor(F.col(R.MICROS) / micros)
+        marks = [(R.SPAN, T.LongType()), (R.EDGE, T.IntegerType()), (R.LANE, T.LongType())]
+        marked = packed.withColumn(R.SPAN, span).groupBy(UNIT, R.SPAN).transformWithStateInPandas(
+            statefulProcessor=R.SpanRules(*how, micros),
+            outputStructType=T.StructType([*output.fields, *[T.StructField(*m) for m in marks]]),
+            outputMode="Append",
+            timeMode="EventTime",
+        )
+        judged = marked.groupBy(UNIT, R.LANE).transformWithStateInPandas(
+            statefulProcessor=R.EdgeRules(*how), outputStructType=output, outputMode="Append", timeMode="None",
+        )
+    else:
+        judged = packed.groupBy(UNIT).transformWithStateInPandas(
+            statefulProcessor=R.RunRules(*how), outputStructType=output, outputMode="Append", timeMode="EventTime",
+        )
     frames_back = _unpack(judged, payload).withColumns(
         {f"_hit_{code}": F.col(f"hit{n}") for n, code in enumerate(rules)}
     )

@@ -76,6 +76,23 @@ def test_stream_rules_equal_plain_python_over_batches_and_a_restart(spark, tmp_p
     assert {r for v in got.values() for r in v[0]} == set(SS.C.REASONS)
 
 
+def test_a_unit_spread_over_spans_is_judged_as_in_one_run(spark, tmp_path):
+    """Nine frames in ten are of one unit; some spans hold fewer frames than a rule looks back."""
+    rows = unique_by_key([r for r in random_frames(500, seed=8, hot_share=0.9) if r[2] is not None])
+    rows += [frame(unit=1, cycle=n, second=30_000 + 2_000 * n, P30=550.0, Nc=8138.0 + n) for n in range(9)]
+    rows.sort(key=lambda r: r[2])
+    as_of, settings = START + timedelta(seconds=50_000), ShieldSettings(max_age_seconds=60_000, sla_seconds=9_000)
+    source = Folder(spark, tmp_path / "in")
+    for a, b in zip([0, 150, 151, 320], [150, 151, 320, len(rows)]):
+        source.add(rows[a:b])
+    SS.closing_frame(spark.createDataFrame([], COLUMNS)).write.mode("append").parquet(source.path)
+    found = [
+        as_results(drain(SS.shield_stream(source.stream(), as_of, settings, span_seconds=how), tmp_path, f"out{how}"))
+        for how in (None, 3_600)
+    ]
+    assert found[0] == found[1] and len(found[0]) == len(rows)
+
+
 def test_rows_out_of_order_within_the_watermark_are_judged_in_order(spark, tmp_path):
     def row(second):
         return frame(cycle=second // 50, second=second, Nc=8000.0 + second, phi=float(second),
@@ -184,6 +201,9 @@ class Value:
     def update(self, value):
         self.stored = value
 
+    def clear(self):
+        self.stored = None
+
 
 class Map(dict):
     updateValue, getValue, removeKey = dict.__setitem__, dict.__getitem__, dict.__delitem__
@@ -237,6 +257,29 @@ def test_a_hot_unit_is_judged_in_bounded_pieces():
     assert not watched.waiting
 
 
+def test_few_frames_of_a_span_reach_the_lane_of_the_unit():
+    import numpy as np
+    import pandas as pd
+
+    from fleetpulse.streaming import run_rules as R
+
+    columns = [R.MICROS, R.NULLS, R.NANS, *[f"value{n}" for n in range(5)]]
+    hour = pd.DataFrame({R.MICROS: np.arange(3_000) * 1_000_000 + 7 * R.SPAN_MICROS, R.NULLS: 0, R.NANS: 0})
+    for n in range(5):
+        hour[f"value{n}"] = np.random.default_rng(n).integers(0, 3, 3_000).astype(float)
+    rules = R.SpanRules(columns, dict(zip(R.READ, range(5))), [R.COUNTER_FELL, R.FROZEN, R.DRIFTED], 5, R.SPAN_MICROS)
+    handle = Handle()
+    rules.init(handle)
+    out = list(rules.handleInputRows((1, 7), iter([hour.sample(frac=1, random_state=2)]), Clock(0)))
+    assert not out and 8 * R.SPAN_MICROS // 1000 in handle.timers
+    for at in (7 * 3_600 + 900, 8 * 3_600):
+        out += rules.handleExpiredTimer((1, 7), Clock(at), None)
+    found = pd.concat(out)
+    assert found[R.EDGE].value_counts().to_dict() == {R.INNER: 2_996, R.HEAD: 4, R.TAIL: 4}
+    assert set(found[R.LANE]) == {7, R.ALL_SPANS} and rules.arrivals.get() is None
+    assert list(rules.handleExpiredTimer((1, 7), Clock(9 * 3_600), None)) == []
+
+
 def test_frames_behind_the_watermark_are_found(spark, tmp_path):
     source = Folder(spark, tmp_path / "in")
     early = [frame(cycle=n, second=n) for n in range(0, 40, 10)]
