@@ -1,10 +1,11 @@
 """Document fingerprints: threshold-scaled sketches of word shingles.
 
 A sketch keeps every distinct hash of a five-word shingle that lies below a fixed fraction of
-the hash space, so its size follows the text and sketches merge by union. A text whose hashes
-all lie above the fraction keeps its smallest one, which merges as well: ``merge`` drops it as
-soon as the other side has a hash below the fraction. Two sketches give estimates of Jaccard
-likeness and of the containment of either text in the other, however unequal their lengths.
+the hash space, so its size follows the text and sketches merge by union. A text with few hashes
+there also keeps the next ones, up to ``LEAST`` in all, so a short text keeps every hash it has.
+A sketch knows up to where it is complete, and two are compared below the lower of both bounds.
+That gives estimates of Jaccard likeness and of the containment of either text in the other,
+however unequal their lengths; for two texts of less than ``LEAST`` shingles they are exact.
 
 Words are what stands between ASCII white space, A-Z lower-cased. Fewer than five words form
 one shingle; a text without words has the empty sketch, which is like other empty ones only.
@@ -26,6 +27,8 @@ from fleetpulse.llm.common import batch_of, shuffle_partitions, text_of, utf8_va
 
 WIDTH = 5
 FRACTION = 1 / 8
+LEAST = 64
+_ALL = np.uint64(2**64 - 1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _WORDS_KEPT = 500_000
@@ -60,10 +63,11 @@ def sketch(
     data: bytes, words: WordHashes, fraction: float = FRACTION, width: int = WIDTH
 ) -> np.ndarray:
     """The sorted hashes kept of a text."""
-    bound = np.uint64(min(int(fraction * 2.0**64), 2**64 - 1))
+    bound = _bound(fraction)
     carry = np.zeros(0, np.uint64)
     kept: list[np.ndarray] = []
-    lowest: np.ndarray | None = None
+    lowest = np.zeros(0, np.uint64)
+    below = 0
     whole = True
     for block in word_blocks(data.lower()):
         hashes = np.fromiter(map(words.__getitem__, block), np.uint64, len(block))
@@ -72,38 +76,58 @@ def sketch(
             whole = False
             shingles = _combine(run, width)
             kept.append(np.unique(shingles[shingles < bound]))
-            low = shingles.min(keepdims=True)
-            lowest = low if lowest is None else np.minimum(low, lowest)
+            if below < LEAST:
+                lowest = np.union1d(lowest, shingles)[:LEAST]
+                below = int((lowest < bound).sum())
         carry = run[len(run) - min(len(run), width - 1) :]
     if whole and len(carry):
         lowest = _combine(carry, len(carry))
-        kept.append(lowest[lowest < bound])
-    found = np.unique(np.concatenate(kept)) if kept else np.zeros(0, np.uint64)
-    if not len(found) and lowest is not None:
-        return lowest
-    return found
+    return lowest if below < LEAST else np.unique(np.concatenate(kept))
+
+
+def _bound(fraction: float) -> np.uint64:
+    return np.uint64(min(int(fraction * 2.0**64), 2**64 - 1))
+
+
+def complete_to(hashes: np.ndarray, fraction: float = FRACTION) -> np.uint64:
+    """The highest hash up to which a sketch has all of its text's."""
+    if len(hashes) < LEAST:
+        return _ALL
+    return max(_bound(fraction) - np.uint64(1), hashes[-1])
+
+
+def _comparable(a: np.ndarray, b: np.ndarray, fraction: float) -> tuple[np.ndarray, np.ndarray]:
+    """What both sketches have below the lower of their bounds."""
+    top = min(complete_to(a, fraction), complete_to(b, fraction))
+    return a[a <= top], b[b <= top]
 
 
 def merge(a: np.ndarray, b: np.ndarray, fraction: float = FRACTION) -> np.ndarray:
     """The sketch of both texts' shingles together."""
-    bound = np.uint64(min(int(fraction * 2.0**64), 2**64 - 1))
-    both = np.union1d(a, b)
-    below = both[both < bound]
-    return below if len(below) else both[:1]
+    both = np.union1d(*_comparable(a, b, fraction))
+    below = int((both < _bound(fraction)).sum())
+    return both[: max(below, LEAST)]
 
 
-def likeness(a: np.ndarray, b: np.ndarray) -> float:
+def likeness(a: np.ndarray, b: np.ndarray, fraction: float = FRACTION) -> float:
     """Estimated share of common shingles among all; 1 for two empty sketches."""
     if not len(a) and not len(b):
         return 1.0
+    a, b = _comparable(a, b, fraction)
     shared = len(np.intersect1d(a, b, assume_unique=True))
     return shared / (len(a) + len(b) - shared)
 
 
-def containment(a: np.ndarray, b: np.ndarray) -> float:
-    """Estimated share of the shingles of ``a`` that ``b`` has too; 1 for an empty ``a``."""
+def containment(a: np.ndarray, b: np.ndarray, fraction: float = FRACTION) -> float:
+    """Estimated share of the shingles of ``a`` that ``b`` has too; 1 for an empty ``a``.
+
+    A few shingles that all lie above the bound of a long ``b`` say nothing, which gives 0.
+    """
     if not len(a):
         return 1.0
+    a, b = _comparable(a, b, fraction)
+    if not len(a):
+        return 0.0
     return len(np.intersect1d(a, b, assume_unique=True)) / len(a)
 
 
@@ -242,10 +266,10 @@ def _judge(row: tuple, following: tuple, words: WordHashes, fraction: float) ->
         hashlib.sha256(edited).hexdigest(),
         encode(own),
         encode(changed),
-        likeness(own, changed),
-        likeness(own, following[2]),
-        containment(own, changed),
-        containment(own, following[2]),
+        likeness(own, changed, fraction),
+        likeness(own, following[2], fraction),
+        containment(own, changed, fraction),
+        containment(own, following[2], fraction),
     )
 
 
