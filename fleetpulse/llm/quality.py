@@ -21,6 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetpulse.llm.common import batch_of, text_of, utf8_values, word_blocks
 from fleetpulse.session import cut_lineage
@@ -300,16 +301,22 @@ def keep_good(
     docs: DataFrame, model: Machine, text_col: str = "text", length_col: str = "n_chars",
     threshold: float = THRESHOLD,
 ) -> DataFrame:
-    """The documents whose score reaches the threshold, with all their columns."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.bias, model.linear, model.factors))
+    """The documents whose score reaches the threshold, with all their columns.
 
-    @F.pandas_udf("double")
-    def score_of(text, stated):
-        import pandas as pd
+    A task scores its rows as they come, so the scorer's words are shared by all its batches.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((model.bias, model.linear, model.factors))
+    stated = F.col(length_col).cast("long") if length_col in docs.columns else F.lit(None).cast("long")
+    rows = docs.select(F.struct("*").alias("row"), stated.alias("stated"))
+    place = docs.columns.index(text_col)
 
-        lengths = (None if pd.isna(s) else int(s) for s in stated)
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        buckets = WordBuckets()
         machine = Machine(*shared.value)
-        return pd.Series(_scores(machine, WordBuckets(), map(str.encode, text), lengths))
+        for batch in batches:
+            texts = utf8_values(batch.column(0).field(place))
+            found = _scores(machine, buckets, texts, batch.column(1).to_pylist())
+            yield batch.select(["row"]).filter(pa.array(found >= threshold))
 
-    stated = F.col(length_col).cast("long") if length_col in docs.columns else F.lit(None).cast("long")
-    return docs.filter(score_of(text_of(text_col), stated) >= threshold)
+    kept = rows.mapInArrow(kernel, T.StructType([rows.schema["row"]]))
+    return kept.select("row.*")
