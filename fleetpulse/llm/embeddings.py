@@ -164,7 +164,7 @@ def _classes(rows: DataFrame) -> DataFrame:
 
 
 def _visit_rows(classes: DataFrame, grid: Grid) -> DataFrame:
-    """A row for each visit: (label, cell, home, rep, copies, vec)."""
+    """A row for each visit: (label, cell, home, own, rep, copies, vec); own is its home cell."""
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -174,14 +174,15 @@ def _visit_rows(classes: DataFrame, grid: Grid) -> DataFrame:
                 take = pa.array(np.repeat(np.arange(len(cells)), list(map(len, cells))))
                 flat = np.array([c for row in cells for c in row], np.int64)
                 home = np.concatenate([np.arange(len(row)) == 0 for row in cells])
+                own = np.repeat(np.array([row[0] for row in cells], np.int64), list(map(len, cells)))
                 label, vec, rep, copies = (some.column(n).take(take) for n in range(4))
                 yield pa.RecordBatch.from_arrays(
-                    [label, pa.array(flat), pa.array(home), rep, copies, vec],
-                    names=["label", "cell", "home", "rep", "copies", "vec"],
+                    [label, pa.array(flat), pa.array(home), pa.array(own), rep, copies, vec],
+                    names=["label", "cell", "home", "own", "rep", "copies", "vec"],
                 )
 
     return classes.select("label", "vec", "rep", "copies").mapInArrow(
-        kernel, "label long, cell long, home boolean, rep long, copies long, vec array<double>"
+        kernel, "label long, cell long, home boolean, own long, rep long, copies long, vec array<double>"
     )
 
 
@@ -216,12 +217,18 @@ def _into_blocks(visits: DataFrame, block_rows: int) -> DataFrame:
     return (
         visits.join(blocks, ["label", "cell"], "left")
         .withColumn("at", F.explode(F.concat(as_far, as_near)))
-        .select("label", "cell", "home", "rep", "copies", "vec", "at.*")
+        .select("label", "cell", "home", "own", "rep", "copies", "vec", "at.*")
     )
 
 
-def _block_links(threshold: float):
-    """Matches within a block: links per searcher, and a spanning forest."""
+def _block_links(threshold: float, grid: Grid):
+    """Matches within a block: links per row, and a spanning forest.
+
+    A match counts for its searcher. It also counts for the row found where that one's own
+    traversal does not visit the searcher's home cell, so every match counts once on either side.
+    """
+    limit = grid.reach**2
+    half = grid.first.shape[1]
 
     def kernel(table: pa.Table) -> pa.Table:
         reps = np.asarray(table["rep"].combine_chunks())
@@ -232,7 +239,11 @@ def _block_links(threshold: float):
         copies = np.asarray(table["copies"].combine_chunks())[order]
         raw = scaled_vectors(table["vec"].combine_chunks())[order]
         length = np.sqrt((raw**2).sum(1))
+        own = np.asarray(table["own"].combine_chunks())[order]
         near = np.flatnonzero(sought)
+        units = raw[near] / length[near][:, None]
+        first = np.maximum(0, _bounds(units[:, :half], grid.first)) ** 2
+        second = np.maximum(0, _bounds(units[:, half:], grid.second)) ** 2
         names = np.arange(len(reps))
         out: list[tuple] = []
         searchers = np.flatnonzero(seeks) if len(near) else np.zeros(0, np.int64)
@@ -240,11 +251,14 @@ def _block_links(threshold: float):
             rows = searchers[start : start + 256]
             cosine = (raw[rows] @ raw[near].T) / (length[rows][:, None] * length[near][None, :])
             match = (cosine >= threshold) & (reps[rows][:, None] != reps[near][None, :])
+            back = first[:, own[rows] // grid.codes] + second[:, own[rows] % grid.codes] <= limit
+            unseen = copies[rows] @ (match & ~back.T)
+            out += [(int(reps[near[n]]), int(unseen[n]), None) for n in np.flatnonzero(unseen)]
             for n in np.flatnonzero(match.any(1)):
                 me, found = rows[n], near[match[n]]
                 out.append((int(reps[me]), int(copies[found].sum()), None))
-                groups, first = np.unique(names[found], return_index=True)
-                for group, at in zip(groups.tolist(), first.tolist(), strict=True):
+                groups, firsts = np.unique(names[found], return_index=True)
+                for group, at in zip(groups.tolist(), firsts.tolist(), strict=True):
                     if group != names[me]:
                         out.append((int(reps[me]), 0, int(reps[found[at]])))
                         names[names == group] = names[me]
@@ -289,7 +303,7 @@ def near_duplicates(
         grid = fit_grid(unit_vectors(sample["vec"].combine_chunks()), count, threshold, recall)
         blocks = _into_blocks(_visit_rows(part, grid), block_rows)
         links = blocks.groupBy("label", "cell", "near", "far").applyInArrow(
-            _block_links(threshold), "rep long, links long, other long"
+            _block_links(threshold, grid), "rep long, links long, other long"
         )
         found = links if found is None else found.union(links)
     if found is None:
