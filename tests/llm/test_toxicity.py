@@ -30,7 +30,6 @@ def test_op11_on_held_out_rows(answers):
         assert r.held_out == (zlib.crc32(str(i).encode()) % 3 == 1)
         assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7)
     kept = [i for i in labels if answers[i].held_out]
-    assert np.mean([answers[i].predicted == labels[i] for i in kept]) > 0.95
     # Words in toxic texts alone, of those not held out, tell the planted ones from stray labels.
     words = re.compile(r"[^\W\d_]+")
     seen = [{}, {}]
@@ -43,6 +42,9 @@ def test_op11_on_held_out_rows(answers):
     toxic = {i for i in kept if planted & set(words.findall(docs[i].lower()))}
     assert np.mean([answers[i].predicted for i in toxic]) > 0.95
     assert np.mean([answers[i].predicted for i in kept if i not in toxic]) < 0.02
+    # Stray labels bound what any answer can agree with: ours agrees about as often as the words do.
+    best = np.mean([(i in toxic) == labels[i] for i in kept])
+    assert np.mean([answers[i].predicted == labels[i] for i in kept]) > best - 0.015
 
 
 def test_op11_smallest_table(spark):
@@ -71,9 +73,11 @@ def test_misspellings_never_seen_share_the_vectors(spark):
     model = toxicity.train(docs, spark.createDataFrame(list(enumerate(labels)), "doc_id long, toxic int"))
     leans, bias = model.lean()
     words = toxicity.WordLeans(leans)
-    clean = "the river ran along the old wall and into a quiet garden " * 3
-    at = lambda word: toxicity.score_of(f"{clean} {word} {clean} {word}".encode(), words, bias)
-    assert at("garden") < 0.3
+    others, marks = corpus(1_500, 1)  # texts of the same common words
+    clean = next(t for t, y in zip(reversed(others), reversed(marks), strict=True) if not y)
+    usual = clean.split()[0]
+    at = lambda word: toxicity.score_of(f"{clean} {word} {word}".encode(), words, bias)
+    assert at(usual) < 0.3
     for word in ("vermin", "vermiin", "Wretchedlly", "blockheaad", "bl0ckhead", "wretchedly!!!"):
         assert at(word) > 0.7, word
 
