@@ -175,23 +175,24 @@ def keep_one(
 ) -> DataFrame:
     """The documents with one row of each component that ``find`` sees: that of the smallest id.
 
-    Of several rows with that id, the one with the smallest text hash stays, and of identical
-    rows one. Rows without an id stay unless a document with an id is like them.
+    Of several rows with that id in a component, the one with the smallest text hash stays, and
+    of identical rows one. Components are told apart by ``find``'s column ``root`` where it has
+    one, since unlike texts may share an id. A row without an id stays only if no row of its
+    component has one.
     """
     found = find(docs, id_col, text_col)
-    kept = (
-        found.filter(F.col(id_col) == F.col("component_id"))
-        .groupBy(F.col(id_col).alias("kept_id"))
-        .agg(F.min("tie").alias("kept_tie"))
+    if "root" not in found.columns:
+        found = found.withColumn("root", F.coalesce("component_id", "tie"))
+    kept = cut_lineage(
+        found.groupBy("root")
+        .agg(F.min(F.struct(F.col(id_col).isNull(), F.col(id_col).alias("id"), "tie")).alias("first"))
+        .select(F.col("first.id").alias("kept_id"), F.col("first.tie").alias("kept_tie"))
     )
     packed = docs.select(
         F.struct("*").alias("doc"),
-        F.col(id_col).cast("long").alias("kept_id"),
-        F.xxhash64(text_of(text_col)).alias("kept_tie"),
+        F.col(id_col).cast("long").alias("own_id"),
+        F.xxhash64(text_of(text_col)).alias("own_tie"),
     )
-    chosen = packed.join(kept, ["kept_id", "kept_tie"], "left_semi")
-    chosen = chosen.dropDuplicates(["kept_id", "kept_tie"]).select("doc.*")
-    lonely = found.filter(F.col("component_id").isNull()).select(F.col("tie").alias("kept_tie"))
-    without = packed.filter(F.col("kept_id").isNull())
-    without = without.join(lonely.distinct(), "kept_tie", "left_semi")
-    return chosen.unionByName(without.dropDuplicates(["kept_tie"]).select("doc.*"))
+    same = F.col("own_id").eqNullSafe(F.col("kept_id")) & (F.col("own_tie") == F.col("kept_tie"))
+    chosen = packed.join(kept, same, "left_semi")
+    return chosen.dropDuplicates(["own_id", "own_tie"]).select("doc.*")

@@ -2,13 +2,14 @@
 
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from fleetpulse.llm import (
-    bpe, components, embeddings, fingerprints, licenses, line_runs, mixing, quality, shards, simhash,
+    bpe, components, embeddings, fingerprints, licenses, line_runs, mixing, near_copies, quality, shards, simhash,
     token_counts,
 )
 
@@ -88,6 +89,13 @@ def test_near_duplicate_stage_leaves_one_row_of_each_group(spark, docs):
     assert sorted(kept) == sorted({c for _, c in found if c is not None})
 
 
+def test_unlike_texts_of_one_id_all_stay(spark):
+    texts = [(5, "a b c d e f g"), (5, "h i j k l m n"), (6, "o p q r s t u"), (7, "o p q r s t u"), (None, "v w x y z 1 2"), (None, "v w x y z 1 2"), (None, "a b c d e f g")]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    kept = simhash.keep_one(df, find=near_copies.near_copies).collect()
+    assert sorted((r.doc_id or 0, r.text[0]) for r in kept) == [(0, "v"), (5, "a"), (5, "h"), (6, "o")]
+
+
 def test_line_stage_changes_text_and_length_only(spark, docs):
     found = {r.doc_id: r for r in line_runs.without_repeated_lines(docs).collect() if r.doc_id}
     n = len(rows()) - 8
@@ -144,6 +152,38 @@ def test_odd_vectors_and_blocks(spark):
     assert embeddings.near_duplicates(df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("target", [0.999, 0.9])
+def test_recall_of_the_grid_and_links_from_both_sides(spark, target):
+    """Thousands of vectors a label, most pairs just above the threshold, 24 codes a half."""
+    rng = np.random.default_rng(12)
+    base = rng.standard_normal((3_000, 32))
+    base /= np.linalg.norm(base, axis=1)[:, None]
+    aside = rng.standard_normal(base.shape)
+    aside -= (aside * base).sum(1)[:, None] * base
+    aside /= np.linalg.norm(aside, axis=1)[:, None]
+    cosine = rng.uniform(0.979, 0.985, len(base))[:, None]
+    vectors = np.concatenate([base, cosine * base + np.sqrt(1 - cosine**2) * aside])
+    label = np.concatenate([np.arange(3_000) % 2] * 2)
+    table = [(n, v.tolist(), int(k)) for n, (v, k) in enumerate(zip(vectors, label, strict=True))]
+    df = spark.createDataFrame(table, "vec_id long, embedding array<double>, label int").repartition(4)
+    found = {r.vec_id: r for r in embeddings.near_duplicates(df, recall=target, codes=24, block_rows=200).collect()}
+    true, counted, got = {}, 0, 0
+    for k in range(2):
+        ids = np.flatnonzero(label == k)
+        near = vectors[ids] @ vectors[ids].T >= 0.98
+        for row, n in zip(near, ids.tolist(), strict=True):
+            true[n] = int(row.sum()) - 1
+    for n, links in true.items():
+        counted, got = counted + links, got + found[n].n_links
+        assert found[n].n_links <= links
+    assert counted > 4_000
+    print(f"recall {got / counted:.5f} at a target of {target}")
+    assert got / counted >= (0.99 if target > 0.99 else 0.85)
+    for n in range(3_000):  # all links here are within pairs, and count for both
+        assert found[n].n_links == found[n + 3_000].n_links
+        assert (found[n + 3_000].component_id == n) == (found[n].n_links == 1)
+
+
 def test_fingerprints_merge():
     words = fingerprints.WordHashes()
     a, b = (" ".join(f"{k}{n}" for n in range(400)).encode() for k in "ab")
