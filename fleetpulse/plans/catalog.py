@@ -372,7 +372,7 @@ def lake_expire(spark, sf_dir):
     """Loads of two days, one written twice, compaction, expiry, and a late load after it."""
     path = scratch_path(spark, "lake")
     frames = FR.with_ingest_columns(_deduplicated(spark, sf_dir), AS_OF)
-    part = lambda n: frames.filter(F.col(CYCLE) % 4 == n)
+    part = lambda n: frames.filter(F.pmod(F.col(CYCLE), F.lit(4)) == n)
     K.write_lake(part(1), path, "hourly-0")
     for n in range(2):
         K.write_lake(part(n), path, f"hourly-{n}")
