@@ -9,6 +9,7 @@ from fleetpulse.functions.noise import jitter, polar
 from fleetpulse.functions.times import (
     AsOf, as_of_column, rfc3339_nano, truncate_to_millis,
 )
+from fleetpulse.operators.joins import join_checked
 from fleetpulse.schema import CYCLE, SENSORS, TS, UNIT, edge_schema
 from fleetpulse.settings import FlightSettings
 
@@ -86,6 +87,14 @@ def with_noise(
     return drawn.withColumns(values).drop(*draws, "_seed")
 
 
+def with_start(ticks: DataFrame, flight: list[str], start: str = "flight_start_time") -> DataFrame:
+    """Adds the time of each flight's first tick; a tick of no known flight has its own time."""
+    first = ticks.groupBy(*flight).agg(F.min(TS).alias("_first"))
+    return join_checked(ticks, first, flight, "left").select(
+        *ticks.columns, F.coalesce("_first", TS).alias(start)
+    )
+
+
 def edge_rows(ticks: DataFrame, run_id: str, start: str = "flight_start_time") -> DataFrame:
     """Rows of the tick files: millisecond times, and the keys of the folder layout. The date
     is that of the flight's start, so a flight over midnight stays in one folder."""

@@ -592,10 +592,13 @@ def edge_roundtrip(spark, sf_dir):
 
 @query
 def latest_run_from_edge(spark, sf_dir):
-    """Tick files of flights that were flown again: only folders of winning runs are read."""
+    """Tick files of flights that were flown again: only folders of winning runs are read.
+
+    A flight starts with its first tick, so all its ticks are in the folder of that day.
+    """
     path = scratch_path(spark, "edge")
     flown = V.run_view(spark, V.REFLOWN_TICKS, sf_dir, "orders")
-    ticks = flown.withColumn(TS, F.col(TS).cast("timestamp")).withColumn("flight_start_time", F.date_trunc("day", TS))
+    ticks = X.with_start(flown.withColumn(TS, F.col(TS).cast("timestamp")), ["run_id", UNIT, CYCLE])
     K.write_edge(X.edge_rows(ticks, F.col("run_id")), path)
     return K.latest_run_from_edge(spark, path).groupBy("run_id", UNIT, CYCLE).agg(
         F.count(F.lit(1)).alias("ticks"), F.min(TS).alias("first_tick"), F.sum("T50").alias("t50_total")

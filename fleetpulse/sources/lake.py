@@ -28,6 +28,8 @@ from fleetpulse.sources.versions import (
 LAKE_KEYS = ("processing_date", UNIT)
 MART_FILES = {"maxRecordsPerFile": "5000000"}
 EDGE_KEYS = ("run_id", "unit", "date")
+_TASK_FOLDERS = 100  # folders that a task writes, about
+_FOLDER_ROWS = 5_000_000
 
 _COMPACTED = "compacted-"
 _MANIFEST = "_manifest"  # a folder for each compacted day
@@ -259,6 +261,8 @@ def _replace(df: DataFrame, path: str, keys: tuple[str, ...], **options: str) ->
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        # Tasks move their files into the staged folders themselves, the driver whole folders.
+        .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
         .options(**options)
         .partitionBy(*keys)
         .parquet(path)
@@ -292,7 +296,30 @@ def seed_lake(spark: SparkSession, path: str, as_of: AsOf = None) -> None:
 
 def write_edge(rows: DataFrame, path: str) -> None:
     """Tick files under run, unit and start date."""
-    _replace(rebalanced(rows, *EDGE_KEYS), path, EDGE_KEYS, **EDGE_PARQUET)
+    _replace(_dealt_by_folder(rows), path, EDGE_KEYS, **EDGE_PARQUET)
+
+
+def _dealt_by_folder(rows: DataFrame) -> DataFrame:
+    """Bring the rows of a folder together for a write.
+
+    Opening a file takes far longer than writing a few rows, so where folders are many the tasks
+    follow their number; ``rebalanced`` follows bytes alone and would leave them all to a few
+    tasks. A folder above ``_FOLDER_ROWS`` is dealt to several tasks.
+    """
+    spark = rows.sparkSession
+    sizes = rows.groupBy(*EDGE_KEYS).agg(F.count(F.lit(1)).alias("_rows"))
+    found = sizes.agg(
+        F.count(F.lit(1)).alias("folders"), F.max("_rows").alias("largest"), F.sum("_rows").alias("rows")
+    ).first()
+    tasks = max(found.folders // _TASK_FOLDERS, (found.rows or 0) // _FOLDER_ROWS)
+    if found.folders < spark.sparkContext.defaultParallelism * _TASK_FOLDERS:
+        return rebalanced(rows, *EDGE_KEYS)
+    if found.largest <= _FOLDER_ROWS:
+        return rows.repartition(tasks, *EDGE_KEYS)
+    share = F.xxhash64(UNIT, CYCLE, TS) % F.ceil(F.col("_rows") / F.lit(_FOLDER_ROWS))
+    large = sizes.filter(F.col("_rows") > _FOLDER_ROWS)
+    placed = join_checked(rows, large, list(EDGE_KEYS), "left").withColumn("_share", F.coalesce(share, F.lit(0)))
+    return placed.repartition(tasks, *EDGE_KEYS, "_share").select(*rows.columns)
 
 
 def read_edge(spark: SparkSession, path: str) -> DataFrame:
