@@ -9,14 +9,21 @@ from fleetpulse.schema import SENSORS
 
 IDS = 2
 
-# Java accepts "1.0d", "1f" and hex floats as numbers; the text contract does not.
+# Java accepts "1.0d", "1f" and hex floats as numbers; the text contract does not. The pattern is
+# tried only on lines with one of its letters.
 _NOT_A_NUMBER = r"(?i)[0-9.][df](\s|$)|0x"
+_ITS_LETTERS = "[dfxDFX]"
+_BLANKS = "\t\n\x0b\f\r"  # that are no space
 
 
 def tokens(line: Column) -> Column:
     """Fields of a line separated by runs of blanks; outer blanks are ignored."""
-    # One cached pattern; ``split`` would compile its pattern again for every line.
-    return F.regexp_extract_all(line, F.lit(r"\S+"), F.lit(0))
+    # A split at one plain character needs no pattern, and takes a third of a pattern's time.
+    other = F.lit(False)
+    for blank in _BLANKS:
+        other = other | F.contains(line, F.lit(blank))
+    spaced = F.when(other, F.translate(line, _BLANKS, " " * len(_BLANKS))).otherwise(line)
+    return F.array_remove(F.split(spaced, " "), "")
 
 
 def numbers(fields: Column) -> Column:
@@ -33,7 +40,7 @@ def id_value(fields: Column, index: int) -> Column:
 def contract_breach(line: Column, fields: Column, readings: Column) -> Column:
     """Why a line breaks the contract of 2 integers and 24 doubles, or NULL."""
     width = IDS + len(SENSORS)
-    bad = line.rlike(_NOT_A_NUMBER) | F.exists(readings, lambda reading: reading.isNull())
+    bad = (line.rlike(_ITS_LETTERS) & line.rlike(_NOT_A_NUMBER)) | F.exists(readings, lambda reading: reading.isNull())
     for index in range(IDS):
         bad = bad | id_value(fields, index).isNull()
     found = F.concat(F.lit(f"expected {width} fields, found "), F.size(fields).cast("string"))

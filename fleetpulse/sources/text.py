@@ -58,10 +58,13 @@ def _number(placed: DataFrame, wanted: str, within_file: bool = True) -> DataFra
     )
 
 
-def numbered_rejects(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Rejected lines with file, line number and reason. Of an accepted line only its place is
-    written down, not its text."""
-    parsed = parse_lines(_placed(spark.read.text(path).withColumnRenamed("value", "line")))
+def numbered_rejects(spark: SparkSession, path: str | list[str], file: str | None = None) -> DataFrame:
+    """Rejected lines with file, line number and reason; with ``file`` those of it alone, and no
+    other is opened. Of an accepted line only its place is written down, not its text."""
+    raw = spark.read.text(path).withColumnRenamed("value", "line")
+    if file is not None:
+        raw = raw.filter(F.col("_metadata.file_path") == file)
+    parsed = parse_lines(_placed(raw))
     bad = F.col(REJECT).isNotNull() & F.col("line").rlike(_SOME_TEXT)
     slim = parsed.select(
         "file", "_piece", "_id",
@@ -131,15 +134,20 @@ def load_blueprint_strict(spark: SparkSession, source: str | list[str], table: s
     """Replace a stored blueprint by all lines of the source, or leave it as it is.
 
     The lines are read once and staged beside the table while bad ones are counted. Without any,
-    one small file publishes the stage; otherwise the lines are numbered and the first bad one is
-    raised as ``BadLine``.
+    one small file publishes the stage; otherwise the lines of the first file with a bad one are
+    numbered, and the first bad one is raised as ``BadLine``.
     """
     seen = Observation()
-    parsed = parse_lines(read_lines(spark, source)).observe(seen, F.count_if(F.col(REJECT).isNotNull()).alias("bad"))
+    bad = F.col(REJECT).isNotNull()
+    lines = spark.read.text(source).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"))
+    parsed = parse_lines(lines.filter(F.col("line").rlike(_SOME_TEXT))).observe(
+        seen, F.count_if(bad).alias("bad"), F.min(F.when(bad, F.col("file"))).alias("file")
+    )
 
     def sound() -> None:
         if seen.get["bad"]:
-            first = numbered_rejects(spark, source).agg(F.min(F.struct("file", "line_number", REJECT)).alias("first"))
+            rejects = numbered_rejects(spark, source, seen.get["file"])
+            first = rejects.agg(F.min(F.struct("file", "line_number", REJECT)).alias("first"))
             raise BadLine(*first.first().first)
 
     write_parts(accepted_lines(parsed).withColumn("stage", F.lit("whole")), table, "stage", check=sound)
