@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Callable
+from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -563,7 +565,7 @@ def tick_noise(spark, sf_dir):
         "op_setting_3",
         F.abs("epr").alias("epr"),
         F.greatest(*excess).alias("excess"),
-        F.size(F.array_compact(F.array(*[F.when(d > 0, 1) for d in off]))).alias("noisy"),
+        reduce(add, [F.coalesce((d > 0).cast("int"), F.lit(0)) for d in off]).alias("noisy"),
     )
     return checked.groupBy(UNIT, CYCLE).agg(
         F.count(F.lit(1)).alias("ticks"),

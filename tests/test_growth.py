@@ -1,9 +1,14 @@
 """Steps whose work must follow the input: how it is dealt to tasks, and that results stay whole."""
 
+import pytest
 from pyspark.sql import functions as F
 
+from fleetpulse.functions import parsing as P
 from fleetpulse.operators import ticks as X
+from fleetpulse.plans import catalog
+from fleetpulse.plans import sample_views as V
 from fleetpulse.sources import lake as K
+from fleetpulse.sources import text as TX
 
 
 def flat(df):
@@ -39,3 +44,51 @@ def test_tasks_follow_the_number_of_folders(spark, tmp_path, monkeypatch):
         K.write_edge(rows, path)
         found = K.read_edge(spark, path).select("unit_number", "time_cycles", "T50")
         assert flat(found) == flat(rows.select("unit_number", "time_cycles", "T50"))
+
+
+def test_fields_are_split_without_a_pattern(spark):
+    texts = ["", "   ", " a  b ", "\ta\t b", "a\x0bb\x0cc\rd\ne", "a\u00a0b \u2003 c", "  1 2.5d", None]
+    lines = spark.createDataFrame([(t,) for t in texts], "line string")
+    by_pattern = F.regexp_extract_all("line", F.lit(r"\S+"), F.lit(0))
+    for row in lines.select(P.tokens(F.col("line")).alias("found"), by_pattern.alias("expected")).collect():
+        assert row.found == row.expected
+    plan = lines.select(P.tokens(F.col("line")))._jdf.queryExecution().analyzed().toString()
+    assert "regexp_extract_all" not in plan
+
+
+def test_a_strict_load_numbers_lines_of_the_first_bad_file_alone(spark, tmp_path, monkeypatch):
+    good = "1 2 " + " ".join(["0.5"] * 24)
+    folder = tmp_path / "some lines [1]"
+    folder.mkdir()
+    contents = {"a": [good] * 3, "b c%": [good, "", "x", "y"], "d": ["z"], "e": [good]}
+    for name, lines in contents.items():
+        (folder / f"{name}.txt").write_text("\n".join(lines) + "\n")
+    numbered = []
+    rejects = TX.numbered_rejects
+    monkeypatch.setattr(TX, "numbered_rejects", lambda *a: numbered.append(rejects(*a)) or numbered[-1])
+    with pytest.raises(TX.BadLine) as found:
+        TX.load_blueprint_strict(spark, str(tmp_path / "some lines*"), str(tmp_path / "table"))
+    assert found.value.line_number == 3 and found.value.file.endswith("b%20c%25.txt")
+    assert {r.line for r in numbered[0].collect()} == {"x", "y"}
+
+
+def test_lines_are_parsed_once_for_two_rebuilds(spark, monkeypatch):
+    parsed = []
+    lines = catalog._lines
+
+    def counted(*args):
+        seen = spark.sparkContext.accumulator(0)
+        parsed.append(seen)
+        found = lines(*args)
+        once = F.udf(lambda text: seen.add(1) or text).asNondeterministic()
+        return found.withColumn(TX.REJECT, once(TX.REJECT))
+
+    monkeypatch.setattr(catalog, "_lines", counted)
+    rows = catalog.QUERIES["ledger_rebuild"](spark, "/root/testdata/sf0.001").count()
+    written = V.run_view(spark, V.LINES, "/root/testdata/sf0.001", "lineitem").filter(F.col("line").rlike(r"\S")).count()
+    assert 0 < rows <= parsed[0].value <= written
+
+
+def test_noisy_readings_are_counted_without_a_list(spark):
+    plan = catalog.QUERIES["tick_noise"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().analyzed().toString()
+    assert "array_compact" not in plan and "noisy" in plan
