@@ -31,6 +31,7 @@ from fleetpulse.sources import text as TX
 from fleetpulse.sources.ledger_store import (
     apply_reports, read_ledger, start_report_ingest, store_ledger,
 )
+from fleetpulse.sources.versions import Folder
 from fleetpulse.streaming.ingest import start_lake_ingest, write_stream
 from fleetpulse.streaming.progress import (
     LiveCounters, WatermarkLog, last_watermark, observed, settle,
@@ -150,17 +151,27 @@ def blueprint_rejects(spark, sf_dir):
     return rejects.select(batch.alias("batch"), "line_number", "line", TX.REJECT)
 
 
+# A compressed file is read by one task, so each holds a bounded number of lines.
+PACKED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": "500000"}
+
+
 @query
 def blueprint_strict(spark, sf_dir):
-    """A sound blueprint is loaded; a source with bad lines then changes nothing."""
+    """A sound blueprint is loaded; a source with bad lines then changes nothing.
+
+    The lines take several times the table's room, so both sources are compressed, and each goes
+    when its load is over.
+    """
     table, good, mixed = (scratch_path(spark, name) for name in ("table", "good", "mixed"))
-    V.run_view(spark, V.LINES, sf_dir, "lineitem", heavy=True).select("line").write.text(mixed)
+    V.run_view(spark, V.LINES, sf_dir, "lineitem", heavy=True).select("line").write.options(**PACKED).text(mixed)
     lines = TX.parse_lines(TX.read_lines(spark, mixed))
-    lines.filter(F.col(TX.REJECT).isNull()).select("line").write.text(good)
+    lines.filter(F.col(TX.REJECT).isNull()).select("line").write.options(**PACKED).text(good)
     TX.load_blueprint_strict(spark, good, table)
+    Folder(spark, good).delete(good)
     try:
         TX.load_blueprint_strict(spark, mixed, table)
     except TX.BadLine:
+        Folder(spark, mixed).delete(mixed)
         return TX.read_blueprint_table(spark, table)
     raise AssertionError("bad lines were loaded")
 

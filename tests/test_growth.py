@@ -1,5 +1,7 @@
 """Steps whose work must follow the input: how it is dealt to tasks, and that results stay whole."""
 
+import pathlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,6 +74,42 @@ def test_a_strict_load_numbers_lines_of_the_first_bad_file_alone(spark, tmp_path
     assert {r.line for r in numbered[0].collect()} == {"x", "y"}
 
 
+def test_a_strict_load_of_packed_files_names_the_line(spark, tmp_path):
+    source, table = str(tmp_path / "lines"), str(tmp_path / "table")
+    good = "1 2 " + " ".join(["0.5"] * 24)
+    texts = [good, "", good, "x", good, good, "y"]
+    lines = spark.createDataFrame([(t,) for t in texts], "line string").coalesce(1)
+    lines.write.options(**{**catalog.PACKED, "maxRecordsPerFile": "3"}).text(source)
+    assert len(list((tmp_path / "lines").glob("*.txt.gz"))) == 3
+    with pytest.raises(TX.BadLine) as found:
+        TX.load_blueprint_strict(spark, source, table)
+    assert found.value.line_number == 1 and "-c001" in found.value.file
+
+
+def test_the_sources_of_strict_loads_are_packed_and_go(spark, tmp_path, monkeypatch):
+    rows = spark.range(4000).select(
+        F.col("id").alias("l_orderkey"), (F.col("id") * 7 % 2000).alias("l_partkey"),
+        (F.col("id") % 100).alias("l_suppkey"), (F.col("id") % 7).cast("int").alias("l_linenumber"),
+    )
+    rows.write.parquet(str(tmp_path / "lineitem.parquet"))
+    sources, sizes, load = [], [], TX.load_blueprint_strict
+
+    def stored(path):
+        return sum(f.stat().st_size for f in pathlib.Path(path).glob("part-*"))
+
+    def spy(spark, source, table):
+        sources.append(source)
+        sizes.append((stored(source), spark.read.text(source).agg(F.sum(F.length("value") + 1)).first()[0]))
+        assert [s for s in sources if stored(s)] == [source]
+        load(spark, source, table)
+
+    monkeypatch.setattr(TX, "load_blueprint_strict", spy)
+    found = catalog.QUERIES["blueprint_strict"](spark, str(tmp_path))
+    assert len(sizes) == 2 and all(2 * room < text for room, text in sizes)
+    assert not any(stored(s) for s in sources)
+    assert flat(found) == flat(catalog.QUERIES["text_parse_valid"](spark, str(tmp_path)))
+
+
 def test_lines_are_parsed_once_for_two_rebuilds(spark, monkeypatch):
     parsed = []
     lines = catalog._lines
