@@ -13,7 +13,11 @@ def spark():
     session = build_session(
         "tests",
         "local[4]",
-        **{"spark.sql.shuffle.partitions": "2", "spark.ui.enabled": "false", "spark.driver.memory": "4g"},
+        **{
+            "spark.sql.shuffle.partitions": "2", "spark.ui.enabled": "false", "spark.driver.memory": "4g",
+            # Tests ask for the stages of their jobs; by default the oldest are forgotten above 1,000.
+            "spark.ui.retainedStages": "100000", "spark.ui.retainedJobs": "100000",
+        },
     )
     session.sparkContext.setLogLevel("OFF")
     yield session
